@@ -81,9 +81,14 @@ def components(href: Column, bucket: str | Column, region: str | Column) -> dict
     }
 
 
+# Fixed value: the generic split of an url (RFC 3986, appendix B), path captured.
+URL_PATH = r"^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)"
+
+
 def url_key(url: Column) -> Column:
-    """The path of an url without leading slashes; null for a bad url."""
-    return F.ltrim(F.try_parse_url(url, F.lit("PATH")), F.lit("/"))
+    """The path of an url without leading slashes; text after ``;`` is no path."""
+    path = F.regexp_replace(F.regexp_extract(url, URL_PATH, 1), ";[^/]*$", "")
+    return F.ltrim(path, F.lit("/"))
 
 
 def collection_url(href: Column, base: str | Column) -> Column:

@@ -7,15 +7,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terraloom.functions import geometry, href as hrefs
-from terraloom.operators.joins import lookup, split_hot
 
+# One parse per document: nested values that only travel as text are strings,
+# and text that is no JSON object shows up in the last field.
+BROKEN = "_broken"
 LINKS = "array<struct<rel: string, href: string, title: string>>"
 PROPERTIES = (
-    "struct<datetime: string, start_datetime: string, end_datetime: string, "
-    "gsd: double, `proj:epsg`: int>"
+    "struct<datetime: string, start_datetime: string, end_datetime: string, gsd: double, "
+    "`proj:epsg`: int, `proj:transform`: string, `proj:shape`: string>"
+)
+ITEM = (
+    "struct<id: string, type: string, stac_version: string, bbox: array<double>, "
+    f"properties: {PROPERTIES}, assets: map<string, string>, {BROKEN}: string>"
+)
+COLLECTION = (
+    f"struct<id: string, title: string, description: string, license: string, links: {LINKS}, {BROKEN}: string>"
 )
-ITEM = f"struct<id: string, type: string, stac_version: string, bbox: array<double>, properties: {PROPERTIES}>"
-COLLECTION = f"struct<id: string, title: string, description: string, license: string, links: {LINKS}>"
 CONTEXT = ["collection_id", "collection_title", "region", "sub_region", "type", "crs"]
 
 
@@ -36,27 +43,24 @@ def parse_href(df: DataFrame, bucket: str | Column, region: str | Column, col: s
 
 
 def parsed(docs: DataFrame, schema: str) -> DataFrame:
-    """Parse ``text``; documents that are not JSON objects are dropped."""
-    return docs.select("key", "text", F.from_json("text", schema, {"mode": "PERMISSIVE"}).alias("doc")).filter(
-        F.json_object_keys("text").isNotNull()
+    """``(key, doc)`` of the documents that are JSON objects."""
+    doc = F.from_json("text", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
+    return docs.select("key", doc.alias("doc")).filter(
+        F.col("doc").isNotNull() & F.col(f"doc.{BROKEN}").isNull()
     )
 
 
 def existing_documents(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """``wanted`` with the text of its document, null where it failed.
-
-    The documents are unique by key; hot keys of ``wanted`` are salted, as one
-    document may be asked for by very many rows.
-    """
-    spread = F.struct(*wanted.columns)
-    left, right, on = split_hot(wanted, docs.select("key", "text"), ["key"], spread)
-    return left.join(right, on, "left").drop("_salt")
+    """``wanted`` with the text of its document, null where it could not be read."""
+    return wanted.join(docs.select("key", "text"), "key", "left")
 
 
 def enrich(collections: DataFrame, docs: DataFrame, only_items: bool = False) -> DataFrame:
     """Attach id, title, description, license and link count to collections.
 
-    Joined on the cleaned href.  Collections without a readable document are
+    Joined on the cleaned href; documents are unique, so the join cannot fan out
+    and adaptive skew handling may split an href that very many rows share.
+    Collections without a readable document are
     dropped, as are those whose id is empty.  ``image_count`` counts all links;
     ``only_items`` counts item links.
     """
@@ -70,7 +74,7 @@ def enrich(collections: DataFrame, docs: DataFrame, only_items: bool = False) ->
         F.when(F.col("doc.links").isNull(), 0).otherwise(size).alias("image_count"),
     )
     key = F.replace(F.replace(F.col("href"), F.lit("./"), F.lit("")), F.lit("\\"), F.lit("/"))
-    joined = lookup(collections.withColumn("key", key), facts, ["key"], "inner", F.struct(*collections.columns))
+    joined = collections.withColumn("key", key).join(facts, "key")
     return joined.filter(F.col("collection_id") != "").drop("key")
 
 
@@ -85,25 +89,22 @@ def item_links(collections: DataFrame, docs: DataFrame, base: str) -> DataFrame:
     listed = parsed(docs, COLLECTION).select(
         "key", F.filter("doc.links", lambda l: (l["rel"] == "item") & (or_empty(l["href"]) != "")).alias("_links")
     )
-    # One collection may list a third of all items: the links are exploded after
-    # the join, and the item join below shuffles on the item's own key.
-    left, right, on = split_hot(wanted, listed, ["key"], F.struct(*wanted.columns))
-    found = left.join(right, on).drop("_salt")
-    return found.withColumn("_link", F.explode("_links")).select(
+    # The links stay packed until after the join; what follows shuffles on the
+    # item's own key, so a collection with very many items is spread again.
+    return wanted.join(listed, "key").withColumn("_link", F.explode("_links")).select(
         *CONTEXT, "collection_href", F.col("_link.href").alias("item_href"),
         hrefs.item_key(F.col("_link.href"), F.col("key")).alias("key"),
     )
 
 
-def item_columns(text: Column, doc: Column) -> dict[str, Column]:
+def item_columns(doc: Column) -> dict[str, Column]:
     """The item table's columns from one item document."""
     props = doc["properties"]
     box = geometry.box_of(doc["bbox"])
-    assets = F.json_object_keys(F.get_json_object(text, "$.assets"))
+    assets = F.map_keys(doc["assets"])
 
     def raw_list(name):
-        found = F.get_json_object(text, f"$.properties['{name}']")
-        return F.regexp_replace(F.coalesce(found, F.lit("[]")), r",\s*", ", ")
+        return F.regexp_replace(F.coalesce(props[name], F.lit("[]")), r",\s*", ", ")
 
     return {
         "item_id": or_empty(doc["id"]),
@@ -127,13 +128,10 @@ def item_columns(text: Column, doc: Column) -> dict[str, Column]:
 
 def items(collections: DataFrame, docs: DataFrame, item_docs: DataFrame, base: str) -> DataFrame:
     """The items table; unreadable items are left out, geometry is added by ``with_geometry``."""
-    wanted = item_links(collections, docs, base)
-    parsed_items = parsed(item_docs, ITEM)
-    facts = parsed_items.select("key", *[
-        value.alias(name) for name, value in item_columns(F.col("text"), F.col("doc")).items()
+    facts = parsed(item_docs, ITEM).select("key", *[
+        value.alias(name) for name, value in item_columns(F.col("doc")).items()
     ])
-    left, right, on = split_hot(wanted, facts, ["key"], F.struct(*wanted.columns))
-    return left.join(right, on).drop("_salt", "key")
+    return item_links(collections, docs, base).join(facts, "key").drop("key")
 
 
 def with_geometry(df: DataFrame) -> DataFrame:

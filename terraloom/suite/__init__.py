@@ -1,6 +1,6 @@
 """Registered queries with their oracle SQL, over the driver's tables."""
 
-from terraloom.suite import grids, neighbours
+from terraloom.suite import catalog, grids, neighbours
 from terraloom.suite.registry import ORACLES, QUERIES
 
 
