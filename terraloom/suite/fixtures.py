@@ -252,7 +252,7 @@ def raster_headers(spark: SparkSession, sf: str) -> DataFrame:
         F.when(k % 4 == 0, 256).when(k % 4 == 1, 512).when(k % 4 == 2, 2048).otherwise(4096 + s * 64).alias("block_x"),
         F.when(k % 4 == 0, 256).when(k % 4 == 1, 512).when(k % 4 == 2, 2048).otherwise(1).alias("block_y"),
         F.when(s % 2 == 0, 0).otherwise(1 + s % 5).alias("overview_count"),
-        (c("p_retailprice") / 64).alias("size_mb"),
+        (F.round(c("p_retailprice") * 100) / 64).alias("size_mb"),
         F.when(k % 10 == 9, "failed").when(k % 10 == 8, "skipped").otherwise("copied").alias("status"),
     )
     return base.withColumns({
@@ -272,7 +272,7 @@ headers AS (SELECT p_partkey AS file_id, 'f' || CAST(p_partkey AS VARCHAR) || '.
     CASE p_partkey % 4 WHEN 0 THEN 256 WHEN 1 THEN 512 WHEN 2 THEN 2048 ELSE 4096 + p_size * 64 END AS block_x,
     CASE p_partkey % 4 WHEN 0 THEN 256 WHEN 1 THEN 512 WHEN 2 THEN 2048 ELSE 1 END AS block_y,
     CASE WHEN p_size % 2 = 0 THEN 0 ELSE 1 + p_size % 5 END AS overview_count,
-    p_retailprice / 64 AS size_mb,
+    ROUND(p_retailprice * 100) / 64 AS size_mb,
     CASE p_partkey % 10 WHEN 9 THEN 'failed' WHEN 8 THEN 'skipped' ELSE 'copied' END AS status
     FROM part)
 """
