@@ -55,14 +55,21 @@ def existing_documents(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return wanted.join(docs.select("key", "text"), "key", "left")
 
 
-def enrich(collections: DataFrame, docs: DataFrame, only_items: bool = False) -> DataFrame:
+def wanted_links(links_col: str) -> Column:
+    """The item links of a document that have a href."""
+    return F.filter(links_col, lambda l: (l["rel"] == "item") & (or_empty(l["href"]) != ""))
+
+
+def enrich(collections: DataFrame, docs: DataFrame, only_items: bool = False,
+           keep_links: bool = False) -> DataFrame:
     """Attach id, title, description, license and link count to collections.
 
     Joined on the cleaned href; documents are unique, so the join cannot fan out
     and adaptive skew handling may split an href that very many rows share.
     Collections without a readable document are
     dropped, as are those whose id is empty.  ``image_count`` counts all links;
-    ``only_items`` counts item links.
+    ``only_items`` counts item links.  ``keep_links`` adds the array
+    ``item_links``, so that ``item_links`` need not read the documents again.
     """
     size = F.size(F.filter("doc.links", lambda l: l["rel"] == "item")) if only_items else F.size("doc.links")
     facts = parsed(docs, COLLECTION).select(
@@ -72,26 +79,28 @@ def enrich(collections: DataFrame, docs: DataFrame, only_items: bool = False) ->
         or_empty(F.col("doc.description")).alias("collection_description"),
         or_empty(F.col("doc.license")).alias("license"),
         F.when(F.col("doc.links").isNull(), 0).otherwise(size).alias("image_count"),
+        *([wanted_links("doc.links").alias("item_links")] if keep_links else []),
     )
     key = F.replace(F.replace(F.col("href"), F.lit("./"), F.lit("")), F.lit("\\"), F.lit("/"))
     joined = collections.withColumn("key", key).join(facts, "key")
     return joined.filter(F.col("collection_id") != "").drop("key")
 
 
-def item_links(collections: DataFrame, docs: DataFrame, base: str) -> DataFrame:
+def item_links(collections: DataFrame, base: str, docs: DataFrame | None = None) -> DataFrame:
     """One row per item link of each collection, with the item's object key.
 
-    Links without a href are left out.  ``base`` is the url in front of
-    relative collection hrefs.
+    Takes the links kept by ``enrich(keep_links=True)`` or reads them from
+    ``docs``.  ``base`` is the url in front of relative collection hrefs.
     """
     url = hrefs.collection_url(F.col("href"), base)
-    wanted = collections.select(*CONTEXT, url.alias("collection_href"), hrefs.url_key(url).alias("key"))
-    listed = parsed(docs, COLLECTION).select(
-        "key", F.filter("doc.links", lambda l: (l["rel"] == "item") & (or_empty(l["href"]) != "")).alias("_links")
-    )
+    kept = ["item_links"] if docs is None else []
+    wanted = collections.select(*CONTEXT, *kept, url.alias("collection_href"), hrefs.url_key(url).alias("key"))
+    if docs is not None:
+        listed = parsed(docs, COLLECTION).select("key", wanted_links("doc.links").alias("item_links"))
+        wanted = wanted.join(listed, "key")
     # The links stay packed until after the join; what follows shuffles on the
     # item's own key, so a collection with very many items is spread again.
-    return wanted.join(listed, "key").withColumn("_link", F.explode("_links")).select(
+    return wanted.withColumn("_link", F.explode("item_links")).select(
         *CONTEXT, "collection_href", F.col("_link.href").alias("item_href"),
         hrefs.item_key(F.col("_link.href"), F.col("key")).alias("key"),
     )
@@ -126,12 +135,12 @@ def item_columns(doc: Column) -> dict[str, Column]:
     }
 
 
-def items(collections: DataFrame, docs: DataFrame, item_docs: DataFrame, base: str) -> DataFrame:
+def items(collections: DataFrame, item_docs: DataFrame, base: str, docs: DataFrame | None = None) -> DataFrame:
     """The items table; unreadable items are left out, geometry is added by ``with_geometry``."""
     facts = parsed(item_docs, ITEM).select("key", *[
         value.alias(name) for name, value in item_columns(F.col("doc")).items()
     ])
-    return item_links(collections, docs, base).join(facts, "key").drop("key")
+    return item_links(collections, base, docs).join(facts, "key").drop("key")
 
 
 def with_geometry(df: DataFrame) -> DataFrame:

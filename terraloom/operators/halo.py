@@ -9,10 +9,14 @@ are shuffled.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 KEYS = ("scene", "band", "tx", "ty")
+RESULT = pa.schema([
+    ("scene", pa.string()), ("band", pa.string()), ("tx", pa.int32()), ("ty", pa.int32()),
+    ("data", pa.list_(pa.float32())),
+])
 
 
 def _strip(dx: int, dy: int, size: int, width: int) -> Column:
@@ -50,23 +54,28 @@ def apply(tiles: DataFrame, width: int, fn, size: int) -> DataFrame:
     full = size + 2 * width
     span = {-1: slice(0, width), 0: slice(width, width + size), 1: slice(width + size, full)}
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        own = (pdf["dx"] == 0) & (pdf["dy"] == 0)
-        if not own.any():
-            return pd.DataFrame(columns=[*KEYS, "data"])
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        dx, dy = rows["dx"].to_numpy(), rows["dy"].to_numpy()
+        if not ((dx == 0) & (dy == 0)).any():
+            return RESULT.empty_table()
+        data = rows["data"].combine_chunks()
+        cells = data.values.to_numpy(zero_copy_only=False)
+        ends = data.offsets.to_numpy()
         padded = np.full((full, full), np.nan)
-        for dx, dy, data in zip(pdf["dx"], pdf["dy"], pdf["data"]):
-            part = padded[span[dy], span[dx]]
-            part[:] = np.asarray(data, dtype=np.float64).reshape(part.shape)
+        for i in range(len(dx)):
+            part = padded[span[dy[i]], span[dx[i]]]
+            part[:] = cells[ends[i]:ends[i + 1]].reshape(part.shape)
         valid = ~np.isnan(padded)
         done = np.where(valid, fn(padded, valid), np.nan)[width:width + size, width:width + size]
-        scene, band, tx, ty = key
-        return pd.DataFrame([{
-            "scene": scene, "band": band, "tx": tx, "ty": ty,
-            "data": done.astype(np.float32).ravel(),
-        }])
+        flat = pa.array(done.astype(np.float32).ravel())
+        # The key arrives as Arrow scalars, in the order of KEYS.
+        return pa.table(
+            [*[pa.array([k.as_py()], f.type) for k, f in zip(key, RESULT)],
+             pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)],
+            schema=RESULT,
+        )
 
-    return sent.groupBy(*KEYS).applyInPandas(
+    return sent.groupBy(*KEYS).applyInArrow(
         run, "scene string, band string, tx int, ty int, data array<float>"
     )
 
@@ -184,3 +193,23 @@ def mean3(tiles: DataFrame, size: int) -> DataFrame:
         return total / np.maximum(count, 1)
 
     return apply(tiles, 1, mean, size)
+
+
+def slope(tiles: DataFrame, size: int, res_x: float = 1.0, res_y: float = 1.0, fmt: str = "degrees") -> DataFrame:
+    """Horn slope of elevation tiles, absent neighbours replaced like in ``focal.slope``."""
+    if fmt not in ("degrees", "percent", "rise_run"):
+        raise ValueError(f"unknown slope format {fmt!r}")
+
+    def side(grid, dy, dx):
+        moved = shifted(grid, dy, dx, np.nan)
+        return np.where(np.isnan(moved), grid, moved)
+
+    def horn(padded, valid):
+        left, right = side(padded, 0, -1), side(padded, 0, 1)
+        across, smooth = right - left, left + 2 * padded + right
+        gx = (side(across, -1, 0) + 2 * across + side(across, 1, 0)) / (8 * res_x)
+        gy = (side(smooth, 1, 0) - side(smooth, -1, 0)) / (8 * res_y)
+        run = np.sqrt(gx * gx + gy * gy)
+        return {"degrees": np.degrees(np.arctan(run)), "percent": run * 100, "rise_run": run}[fmt]
+
+    return apply(tiles, 1, horn, size)

@@ -14,13 +14,17 @@ def collections(docs: DataFrame, bucket: str, region: str) -> DataFrame:
     return catalog.parse_href(children, bucket, region).select(*documents.COLLECTION_COLUMNS)
 
 
-def enriched(collections_df: DataFrame, docs: DataFrame) -> DataFrame:
+def enriched(collections_df: DataFrame, docs: DataFrame, keep_links: bool = False) -> DataFrame:
     """Collections with a type and a readable document."""
-    return catalog.enrich(collections_df.filter("type != ''"), docs)
+    return catalog.enrich(collections_df.filter("type != ''"), docs, keep_links=keep_links)
 
 
-def items(enriched_df: DataFrame, docs: DataFrame, item_docs: DataFrame, base: str) -> DataFrame:
-    return catalog.items(enriched_df, docs, item_docs, base)
+def items(collections_df: DataFrame, docs: DataFrame, item_docs: DataFrame, base: str) -> DataFrame:
+    """Items of the collections that have a type and a readable document.
+
+    Collection documents are parsed and joined once, for facts and links alike.
+    """
+    return catalog.items(enriched(collections_df, docs, keep_links=True), item_docs, base)
 
 
 def health(headers: DataFrame, size_mb: str = "size_mb") -> DataFrame:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from terraloom.functions import indices
-from terraloom.operators import algebra, focal, halo, stats, tiles as tile_ops
+from terraloom.functions import indices, tilemath
+from terraloom.operators import algebra, focal, halo
 
 
 def vegetation(px: DataFrame, height_tolerance: float = 3.5, max_height: float | None = None,
@@ -50,15 +50,9 @@ def vegetation_tiles(wide: DataFrame, size: int, height_tolerance: float = 3.5,
     The mask is computed inside each row, so of all bands only one array is
     shuffled for the closing.  Returns long tiles with band ``vegetation``.
     """
-    def mask(nir, red, dsm, dem):
-        held = indices.vegetation_mask(indices.ndvi(nir, red), ndvi_threshold) & indices.height_mask(
-            indices.height_above_ground(dsm, dem), height_tolerance, max_height
-        )
-        return held.cast("float")
-
     masked = wide.select(
         "scene", F.lit("vegetation").alias("band"), "tx", "ty",
-        indices.over_arrays(mask, F.col("nir"), F.col("red"), F.col("dsm"), F.col("dem")).alias("data"),
+        tilemath.vegetation(height_tolerance, max_height, ndvi_threshold).alias("data"),
     )
     return halo.closing(masked, size)
 

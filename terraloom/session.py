@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 # Settings a run on a cluster wants as well; anything already set by
 # spark-submit wins because only a new local session gets them from here.
 DEFAULTS = {
@@ -46,3 +50,21 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application.
+
+    Needed where the package is neither installed on the cluster nor passed
+    with ``--py-files``; the archive travels through Spark's own file service.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), os.path.basename(package)), "zip",
+        os.path.dirname(package), os.path.basename(package),
+    )
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)

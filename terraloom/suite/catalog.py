@@ -202,9 +202,7 @@ def item_documents(spark, sf):
 
 
 def items_table(spark, sf):
-    docs = documents(spark, sf)
-    enriched = plans.enriched(collections(spark, sf), docs)
-    return plans.items(enriched, docs, item_documents(spark, sf), fx.BASE)
+    return plans.items(collections(spark, sf), documents(spark, sf), item_documents(spark, sf), fx.BASE)
 
 
 ITEM_TABLE = D + f""",
@@ -243,7 +241,7 @@ def links_with_href(spark, sf):
     docs = documents(spark, sf)
     hrefs_only = fx.links(spark, sf).select("href").distinct().withColumns(
         {n: F.lit("") for n in ("region", "sub_region", "type", "crs")})
-    return catalog.item_links(catalog.enrich(hrefs_only, docs), docs, fx.BASE).select("collection_id", "item_href")
+    return catalog.item_links(catalog.enrich(hrefs_only, docs), fx.BASE, docs).select("collection_id", "item_href")
 
 
 @query("a04_assets", ITEM_TABLE + "SELECT item_id, asset_count, asset_types FROM item_table")

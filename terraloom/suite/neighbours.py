@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terraloom.functions import indices
+from terraloom.functions import indices, tilemath
 from terraloom.operators import algebra, focal, halo, tiles
 from terraloom.plans import workflows
 from terraloom.suite import fixtures as fx
@@ -55,6 +55,13 @@ def horn_slope(spark, sf):
     return focal.slope(px, "dsm").select("x", "y", six("slope").alias("slope"))
 
 
+@query("z01_horn_slope_tiles", horn("dem") + "SELECT x, y, ROUND(DEGREES(ATAN(SQRT(gx * gx + gy * gy))), 3) AS slope FROM grad")
+def horn_slope_tiles(spark, sf):
+    """Tile arrays are float32; the ground heights are exact in it."""
+    long, size = tiled(fx.scene(spark, sf), "dem")
+    return back(halo.slope(long, size), size, "slope").select("x", "y", F.round(c("slope").cast("double"), 3).alias("slope"))
+
+
 @query("z02_slope_percent", horn("dsm", 0.5, 2.0) + """SELECT grad.x, grad.y,
     CASE WHEN grad.x > 0 AND grad.x < w AND grad.y > 0 AND grad.y < h THEN ROUND(100 * SQRT(gx * gx + gy * gy), 6) END AS slope FROM grad, n""")
 def slope_percent(spark, sf):
@@ -153,6 +160,14 @@ def clean_tiles(spark, sf):
     return back(halo.clean_classes(long, size), size, "cleaned").select("x", "y", c("cleaned").cast("tinyint").alias("cleaned"))
 
 
+@query("r09_landcover_tiles", fx.with_sql(LAND) + "SELECT x, y, class, class_capped FROM land")
+def landcover_tiles(spark, sf):
+    t = fx.tiles(spark, sf).select(
+        "scene", "tx", "ty", "w", "h", tilemath.landcover().alias("class"), tilemath.landcover(max_height=8.0).alias("class_capped"))
+    px = tiles.to_pixels(t, ["class", "class_capped"], fx.SIZE)
+    return px.select("x", "y", *[c(n).cast("tinyint").alias(n) for n in ("class", "class_capped")])
+
+
 @query("z06_fill_holes", S + TALL.format(value=0.35, low=3.5, high="") + """
 reach AS (SELECT dx, dy FROM (SELECT UNNEST(range(-10, 11)) AS dx), (SELECT UNNEST(range(-10, 11)) AS dy) WHERE dx * dx + dy * dy <= 100),
 touched AS (SELECT DISTINCT m.x + dx AS x, m.y + dy AS y FROM mask m, reach WHERE m.m = 1)
