@@ -8,16 +8,6 @@ from pyspark.sql import Column, functions as F
 YEAR_RANGE = r"_(\d{4}(?:-\d{4})?)(?=_)"
 GSD = r"_(\d+\.?\d*m)(?=/|$)"
 
-COMPONENTS = [
-    "path", "region", "sub_region", "type", "crs", "base_year",
-    "year_range", "cellsize_cm", "gsd", "s3", "https",
-]
-
-
-def text(value: str | Column) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
 def clean_path(href: Column) -> Column:
     """Drop every ``./`` and the ``/collection.json`` tail."""
     return F.replace(
@@ -48,37 +38,42 @@ def https_url(bucket: Column, region: Column, key: Column) -> Column:
     )
 
 
-def components(href: Column, bucket: str | Column, region: str | Column) -> dict[str, Column]:
-    """All path derived columns of one collection href.
+def stages(href: Column, bucket: str | Column, region: str | Column) -> list[dict[str, Column]]:
+    """All path derived columns of one collection href, as successive projections.
 
+    Later stages use the columns of earlier ones, so no pattern or split is
+    evaluated twice; columns starting with ``_`` are to be dropped at the end.
     Missing values are empty strings.  A path with fewer than three parts keeps
     its whole text as ``path`` and has no type, crs, year or resolution.
     """
     bucket = F.lit(bucket) if isinstance(bucket, str) else bucket
     region = F.lit(region) if isinstance(region, str) else region
-    whole = clean_path(href)
-    parts = F.split(whole, "/")
-    full = F.size(parts) >= 3
-    folder = F.when(
-        full, F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - 2, F.lit(0))), "/")
-    ).otherwise(whole)
-    years = F.when(full, F.regexp_extract(folder, YEAR_RANGE, 1)).otherwise("")
-    gsd = F.when(full, F.regexp_extract(folder, GSD, 1)).otherwise("")
-    metres = F.regexp_extract(gsd, r"(\d+\.?\d*)m", 1).try_cast("double")
-    second = F.coalesce(F.get(parts, 1), F.lit(""))
-    return {
-        "path": folder,
-        "region": spaced(F.get(parts, 0)),
-        "sub_region": spaced(F.substring_index(second, "_", 1)),
-        "type": F.when(full, F.element_at(parts, -2)).otherwise(""),
-        "crs": F.when(full, F.element_at(parts, -1)).otherwise(""),
-        "base_year": F.substring_index(years, "-", 1),
-        "year_range": years,
-        "cellsize_cm": F.coalesce(plain_number(metres * 100), F.lit("")),
-        "gsd": gsd,
-        "s3": s3_url(bucket, F.concat(whole, F.lit("/"))),
-        "https": https_url(bucket, region, F.concat(whole, F.lit("/"))),
-    }
+    c, empty = F.col, F.lit("")
+    inner = F.slice("_parts", 1, F.greatest(F.size("_parts") - 2, F.lit(0)))
+    metres = F.regexp_extract("gsd", r"(\d+\.?\d*)m", 1).try_cast("double")
+    return [
+        {"_whole": clean_path(href)},
+        {"_parts": F.split("_whole", "/")},
+        {"_full": F.size("_parts") >= 3},
+        {
+            "path": F.when(c("_full"), F.array_join(inner, "/")).otherwise(c("_whole")),
+            "region": spaced(F.get("_parts", F.lit(0))),
+            "sub_region": spaced(F.substring_index(F.coalesce(F.get("_parts", F.lit(1)), empty), "_", 1)),
+            "type": F.when(c("_full"), F.element_at("_parts", -2)).otherwise(empty),
+            "crs": F.when(c("_full"), F.element_at("_parts", -1)).otherwise(empty),
+            "s3": s3_url(bucket, F.concat("_whole", F.lit("/"))),
+            "https": https_url(bucket, region, F.concat("_whole", F.lit("/"))),
+        },
+        {
+            "year_range": F.when(c("_full"), F.regexp_extract("path", YEAR_RANGE, 1)).otherwise(empty),
+            "gsd": F.when(c("_full"), F.regexp_extract("path", GSD, 1)).otherwise(empty),
+        },
+        {
+            "base_year": F.substring_index("year_range", "-", 1),
+            "_cm": metres * 100,
+        },
+        {"cellsize_cm": F.coalesce(plain_number(c("_cm")), empty)},
+    ]
 
 
 # Fixed value: the generic split of an url (RFC 3986, appendix B), path captured.

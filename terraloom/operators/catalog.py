@@ -38,8 +38,11 @@ def links(docs: DataFrame, rel: str, links_col: str = "links") -> DataFrame:
 
 
 def parse_href(df: DataFrame, bucket: str | Column, region: str | Column, col: str = "href") -> DataFrame:
-    """Add the path derived columns; see ``functions.href.components``."""
-    return df.withColumns(hrefs.components(F.col(col), bucket, region))
+    """Add the path derived columns; see ``functions.href.stages``."""
+    steps = hrefs.stages(F.col(col), bucket, region)
+    for step in steps:
+        df = df.withColumns(step)
+    return df.drop(*[name for step in steps for name in step if name.startswith("_")])
 
 
 def parsed(docs: DataFrame, schema: str) -> DataFrame:

@@ -43,6 +43,18 @@ def core(df: DataFrame, block: int = BLOCK) -> DataFrame:
     ).drop("_bx", "_by")
 
 
+def in_blocks(px: DataFrame, halo: int, *steps, block: int = BLOCK, scene=SCENE) -> DataFrame:
+    """Run several neighbourhood steps on one shuffle.
+
+    ``halo`` must cover the steps' reaches added up where one reads what an
+    earlier one wrote, else the largest of them.
+    """
+    df = with_halo(px, halo, block, scene)
+    for step in steps:
+        df = step(df)
+    return core(df, block)
+
+
 class Line:
     """Previous and next cell along one axis of a block."""
 
@@ -72,13 +84,24 @@ def slope(px: DataFrame, value: str = "dem", res_x=1.0, res_y=1.0, fmt: str = "d
     ``degrees``, ``percent`` or ``rise_run``.  ``edge="null"`` leaves cells
     without eight neighbours empty instead of replicating the edge.
     """
+    step = slope_step(value, res_x, res_y, fmt, method, edge, out, scene)
+    return in_blocks(px, 1, step, block=block, scene=scene)
+
+
+def slope_step(value="dem", res_x=1.0, res_y=1.0, fmt="degrees", method="horn", edge="replicate",
+               out="slope", scene=SCENE):
+    """The step behind ``slope``; reach 1."""
     if method not in ("horn", "gradient") or fmt not in ("degrees", "percent", "rise_run"):
         raise ValueError(f"unknown slope method {method!r} or format {fmt!r}")
     if edge not in ("replicate", "null"):
         raise ValueError(f"edge must be 'replicate' or 'null', not {edge!r}")
-    kept = px.columns
+    return lambda df: _slope(df, value, res_x, res_y, fmt, method, edge, out, scene)
+
+
+def _slope(df, value, res_x, res_y, fmt, method, edge, out, scene):
+    kept = [c for c in df.columns if c != out]
     across, down = Line("x", scene), Line("y", scene)
-    df = with_halo(px, 1, block, scene).withColumn("_v", indices.known(F.col(value).cast("double")))
+    df = df.withColumn("_v", indices.known(F.col(value).cast("double")))
     df = df.withColumns({"_l": across.before("_v"), "_r": across.after("_v")})
     left, right = F.coalesce("_l", "_v"), F.coalesce("_r", "_v")
     if method == "horn":
@@ -113,7 +136,7 @@ def slope(px: DataFrame, value: str = "dem", res_x=1.0, res_y=1.0, fmt: str = "d
     ]
     if edge == "null":
         result = F.when(inside, result)
-    return core(df.withColumn(out, result), block).select(*kept, out)
+    return df.withColumn(out, result).select(*kept, out)
 
 
 def classify_slope(px: DataFrame, threshold: float = 5.0, value: str = "slope",
@@ -177,16 +200,25 @@ def clean_classes(px: DataFrame, value: str = "class", iterations: int = 2,
                   element: str = "cross", out: str = "cleaned",
                   block: int = BLOCK, scene=SCENE) -> DataFrame:
     """Close each class from 1 to 62; where closed classes overlap the higher wins."""
-    kept = [c for c in px.columns if c != out]
-    one = F.lit(1).cast("long")
-    code = F.col(value).cast("int")
-    df = px.withColumn("_bits", F.when(code > 0, F.call_function("shiftleft", one, code)).otherwise(F.lit(0)).cast("long"))
-    df = with_halo(df, 2 * iterations, block, scene)
-    df = core(_close_bits(df, "_bits", element, iterations, scene), block)
-    top = F.length(F.bin("_bits")) - 1
-    return df.withColumn(
-        out, F.when(F.col("_bits") > 0, top).otherwise(code).cast("tinyint")
-    ).select(*kept, out)
+    step = clean_step(value, iterations, element, out, scene)
+    return in_blocks(px, 2 * iterations, step, block=block, scene=scene)
+
+
+def clean_step(value="class", iterations=2, element="cross", out="cleaned", scene=SCENE):
+    """The step behind ``clean_classes``; reach ``2 * iterations``."""
+
+    def step(df):
+        kept = [c for c in df.columns if c != out]
+        code = F.col(value).cast("int")
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), code)
+        df = df.withColumn("_bits", F.when(code > 0, bit).otherwise(F.lit(0)).cast("long"))
+        df = _close_bits(df, "_bits", element, iterations, scene)
+        top = F.length(F.bin("_bits")) - 1
+        return df.withColumn(
+            out, F.when(F.col("_bits") > 0, top).otherwise(code).cast("tinyint")
+        ).select(*kept, out)
+
+    return step
 
 
 def select_by_height(px: DataFrame, mask: str, min_height: float, max_height: float | None = None,

@@ -9,33 +9,29 @@ from terraloom.functions import indices
 SCENE = ("scene",)
 
 
-def _stacked(px: DataFrame, bands, keys) -> DataFrame:
-    return px.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(b).alias("band"), indices.known(F.col(b).cast("double")).alias("value"))
-        for b in bands
-    ])))
+def _summary(value: Column) -> list[Column]:
+    return [
+        F.count(value).alias("cells"), F.min(value).alias("min"), F.max(value).alias("max"),
+        F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"),
+    ]
+
+
+def _by_band(px: DataFrame, bands, scene, summary) -> DataFrame:
+    """Aggregate every band in one pass, then turn the few results into rows."""
+    wide = px.groupBy(*scene).agg(*[F.struct(*summary(b)).alias(f"_{b}") for b in bands])
+    rows = F.array(*[F.struct(F.lit(b).alias("band"), F.col(f"_{b}.*")) for b in bands])
+    return wide.select(*scene, F.inline(rows))
 
 
 def bands(px: DataFrame, bands, scene=SCENE) -> DataFrame:
     """Minimum, maximum, mean and population deviation per scene and band."""
-    return _stacked(px, bands, scene).groupBy(*scene, "band").agg(
-        F.count("value").alias("cells"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"),
-    )
+    return _by_band(px, bands, scene, lambda b: _summary(indices.known(F.col(b).cast("double"))))
 
 
 def whole(px: DataFrame, bands) -> DataFrame:
     """The same over all bands and scenes together."""
-    return _stacked(px, bands, ()).agg(
-        F.count("value").alias("cells"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"),
-    )
+    values = F.array(*[indices.known(F.col(b).cast("double")) for b in bands])
+    return px.select(F.explode(values).alias("value")).agg(*_summary(F.col("value")))
 
 
 def thresholds(px: DataFrame, conditions: dict[str, Column], scene=()) -> DataFrame:
@@ -87,9 +83,7 @@ def quantiles(px: DataFrame, value: str, shares=(0.25, 0.5, 0.75), accuracy: int
 
 def fingerprint(px: DataFrame, bands, scene=SCENE) -> DataFrame:
     """Order-free checksum per scene and band."""
-    return px.select(*scene, "x", "y", F.inline(F.array(*[
-        F.struct(F.lit(b).alias("band"), F.col(b).cast("double").alias("value")) for b in bands
-    ]))).groupBy(*scene, "band").agg(
-        F.bit_xor(F.xxhash64("x", "y", "value")).alias("checksum"),
+    return _by_band(px, bands, scene, lambda b: [
+        F.bit_xor(F.xxhash64("x", "y", F.col(b).cast("double"))).alias("checksum"),
         F.count(F.lit(1)).alias("cells"),
-    )
+    ])

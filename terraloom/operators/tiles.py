@@ -8,7 +8,7 @@ arrays of ``w * h`` values; cell ``i`` sits at ``x = tx * size + i % w`` and
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -37,20 +37,25 @@ def from_pixels(px: DataFrame, bands, size: int = 256, scene: str = "scene") ->
         F.floor(F.col("y") / size).cast("int").alias("ty"),
     )
 
-    def fill(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        name, tx, ty = key
-        spot = (pdf["y"].to_numpy() - ty * size) * size + pdf["x"].to_numpy() - tx * size
-        row = {scene: name, "tx": tx, "ty": ty, "w": size, "h": size}
+    result = pa.schema([
+        (scene, pa.string()), *[(n, pa.int32()) for n in ("tx", "ty", "w", "h")],
+        *[(b, pa.list_(pa.float32())) for b in bands],
+    ])
+
+    def fill(key: tuple, cells: pa.Table) -> pa.Table:
+        name, tx, ty = (k.as_py() for k in key)
+        spot = (cells["y"].to_numpy() - ty * size) * size + cells["x"].to_numpy() - tx * size
+        columns = [pa.array([name], pa.string()), *[pa.array([v], pa.int32()) for v in (tx, ty, size, size)]]
         for b in bands:
             data = np.full(size * size, np.nan, dtype=np.float32)
-            data[spot] = pdf[b].to_numpy(dtype=np.float32)
-            row[b] = data
-        return pd.DataFrame([row])
+            data[spot] = cells[b].to_numpy()
+            columns.append(pa.ListArray.from_arrays(pa.array([0, data.size], pa.int32()), pa.array(data)))
+        return pa.table(columns, schema=result)
 
     schema = f"{scene} string, tx int, ty int, w int, h int, " + ", ".join(
         f"{b} array<float>" for b in bands
     )
-    return px.groupBy(scene, "tx", "ty").applyInPandas(fill, schema)
+    return px.groupBy(scene, "tx", "ty").applyInArrow(fill, schema)
 
 
 def by_band(tiles: DataFrame, bands) -> DataFrame:

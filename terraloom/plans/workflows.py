@@ -65,11 +65,13 @@ def landcover(px: DataFrame, res_x: float = 1.0, res_y: float = 1.0, ndvi_thresh
     df = algebra.ndsm(df) if use_height else df
     df = algebra.landcover(df, ndvi_threshold, height_threshold, max_height, use_height)
     carried = ["ndvi", "class"] + (["ndsm", "dem"] if use_height else [])
-    df = focal.clean_classes(df.select("scene", "x", "y", *carried), iterations=iterations)
+    df = df.select("scene", "x", "y", *carried)
+    # Cleaning and slope read different columns: one halo, one shuffle for both.
+    steps = [focal.clean_step(iterations=iterations)]
     if use_height:
-        df = focal.slope(df, "dem", res_x, res_y)
-        df = focal.classify_slope(df, slope_threshold).drop("dem")
-    return df
+        steps.append(focal.slope_step("dem", res_x, res_y))
+    df = focal.in_blocks(df, 2 * iterations, *steps)
+    return focal.classify_slope(df, slope_threshold).drop("dem") if use_height else df
 
 
 def landcover_summary(cells: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terraloom.functions import tiff
@@ -19,9 +20,22 @@ BLOCK = (
     "planes array<array<float>>, error string"
 )
 
-
-def _names(ddl: str) -> list[str]:
-    return [field.split()[0] for field in ddl.split(", ")]
+# The same two schemas as the tasks build them.
+HEADER_ARROW = pa.schema([
+    ("path", pa.string()), ("file_length", pa.int64()), ("driver", pa.string()), ("width", pa.int32()),
+    ("height", pa.int32()), ("band_count", pa.int32()), ("dtype", pa.string()), ("compression", pa.string()),
+    ("interleave", pa.string()), ("tiled", pa.string()), ("block_x", pa.int32()), ("block_y", pa.int32()),
+    ("predictor", pa.int32()), ("photometric", pa.int32()), ("nodata", pa.float64()), ("epsg", pa.int32()),
+    ("transform", pa.list_(pa.float64())), ("overview_widths", pa.list_(pa.int32())), ("metadata", pa.string()),
+    ("byte_order", pa.string()), ("offsets", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())),
+    ("error", pa.string()),
+])
+BLOCK_ARROW = pa.schema([
+    ("scene", pa.string()), ("block", pa.int32()), ("first_band", pa.int32()), ("x0", pa.int32()), ("y0", pa.int32()),
+    ("w", pa.int32()), ("h", pa.int32()), ("planes", pa.list_(pa.list_(pa.float32()))), ("error", pa.string()),
+])
+FILES_PER_BATCH = 64
+BATCH_BYTES = 32 * 1024 * 1024
 
 
 def _tasks(df: DataFrame) -> int:
@@ -37,25 +51,28 @@ def headers(listing: DataFrame, tasks: int | None = None) -> DataFrame:
     Only the directories are read, not the pixels.  A file that cannot be read
     becomes a row with ``error`` set.
     """
-    names = _names(HEADER)
+    names = HEADER_ARROW.names
+
+    def one(path, length):
+        row = dict.fromkeys(names)
+        row.update(path=path, file_length=length)
+        try:
+            with tiff.open_file(path) as file:
+                row.update(tiff.header(file))
+        except Exception as failure:  # one bad file must not end the job
+            row["error"] = f"{type(failure).__name__}: {failure}"
+        return row
 
     def read(batches):
-        for pdf in batches:
-            rows = []
-            for path, length in zip(pdf["path"], pdf["length"]):
-                row = dict.fromkeys(names)
-                row.update(path=path, file_length=length)
-                try:
-                    with tiff.open_file(path) as file:
-                        row.update(tiff.header(file))
-                except Exception as failure:  # one bad file must not end the job
-                    row["error"] = f"{type(failure).__name__}: {failure}"
-                rows.append(row)
-            out = pd.DataFrame(rows, columns=names).astype(object)
-            yield out.where(out.notna(), None)
+        for batch in batches:
+            files = batch.to_pylist()
+            # Block indexes can be long: a few files per batch.
+            for at in range(0, len(files), FILES_PER_BATCH):
+                rows = [one(f["path"], f["length"]) for f in files[at:at + FILES_PER_BATCH]]
+                yield pa.RecordBatch.from_pylist(rows, schema=HEADER_ARROW)
 
     files = listing.select("path", "length").repartition(tasks or _tasks(listing), "path")
-    return files.mapInPandas(read, HEADER)
+    return files.mapInArrow(read, HEADER)
 
 
 def good(headers_df: DataFrame) -> DataFrame:
@@ -89,9 +106,9 @@ def blocks(headers_df: DataFrame, tasks: int | None = None) -> DataFrame:
     down = F.ceil(F.col("height") / F.col("block_y")).cast("int")
     plan = good_files.select(
         "path", "dtype", "byte_order", "compression", "predictor", "nodata", "width", "height",
-        "block_x", "block_y", "tiled", "band_count", "interleave", "counts", across.alias("across"), down.alias("down"),
-        F.posexplode("offsets").alias("block", "offset"),
-    ).withColumn("size", F.get("counts", F.col("block"))).drop("counts")
+        "block_x", "block_y", "tiled", "band_count", "interleave", across.alias("across"), down.alias("down"),
+        F.posexplode(F.arrays_zip("offsets", "counts")).alias("block", "_at"),
+    ).withColumns({"offset": F.col("_at.offsets"), "size": F.col("_at.counts")}).drop("_at")
     plane = F.when(F.col("interleave") == "BAND", F.floor(F.col("block") / (F.col("across") * F.col("down")))).otherwise(0)
     place = F.col("block") % (F.col("across") * F.col("down"))
     plan = plan.withColumns({
@@ -102,27 +119,40 @@ def blocks(headers_df: DataFrame, tasks: int | None = None) -> DataFrame:
     })
 
     def read(batches):
-        for pdf in batches:
-            rows = []
-            for path, group in pdf.groupby("path", sort=False):
-                try:
-                    file = tiff.open_file(path)
-                except Exception as failure:
-                    rows += [_failed(path, r, failure) for r in group.itertuples()]
-                    continue
-                with file:
-                    for r in group.sort_values("offset").itertuples():
-                        try:
-                            rows.append(_block(path, r, file))
-                        except Exception as failure:
-                            rows.append(_failed(path, r, failure))
-            yield pd.DataFrame(rows, columns=_names(BLOCK))
-
-    return plan.repartition(tasks or _tasks(headers_df), "path", "block").mapInPandas(read, BLOCK)
-
-
-def _failed(path, r, failure):
-    return (path, r.block, r.first_band, r.x0, r.y0, 0, 0, None, f"{type(failure).__name__}: {failure}")
+        ready, held = [], 0
+        for batch in batches:
+            for path, group in batch.to_pandas().groupby("path", sort=False):
+                for row in _file_blocks(path, group.sort_values("offset")):
+                    ready.append(row)
+                    held += sum(p.nbytes for p in row["planes"] or ())
+                    # Decoded blocks are large: hand them on by size, not by count.
+                    if held >= BATCH_BYTES:
+                        yield _batch(ready)
+                        ready, held = [], 0
+        if ready:
+            yield _batch(ready)
+
+    return plan.repartition(tasks or _tasks(headers_df), "path", "block").mapInArrow(read, BLOCK)
+
+
+def _file_blocks(path, group):
+    """Decode the wanted blocks of one file; a failure becomes a row with ``error``."""
+    def failed(r, failure):
+        return {"scene": path, "block": r.block, "first_band": r.first_band, "x0": r.x0, "y0": r.y0, "w": 0, "h": 0,
+                "planes": None, "error": f"{type(failure).__name__}: {failure}"}
+
+    try:
+        file = tiff.open_file(path)
+    except Exception as failure:
+        yield from (failed(r, failure) for r in group.itertuples())
+        return
+    with file:
+        for r in group.itertuples():
+            try:
+                row = _block(path, r, file)
+            except Exception as failure:
+                row = failed(r, failure)
+            yield row
 
 
 def _block(path, r, file):
@@ -133,9 +163,24 @@ def _block(path, r, file):
                        rows, r.block_x, r.planes)
     h, w = min(rows, r.height - r.y0), min(r.block_x, r.width - r.x0)
     data = data[:, :h, :w]
-    if r.nodata == r.nodata and r.nodata is not None:
-        data[data == r.nodata] = float("nan")
-    return (path, r.block, r.first_band, r.x0, r.y0, w, h, [p.ravel() for p in data], None)
+    if r.nodata is not None and r.nodata == r.nodata:
+        data[data == np.float32(r.nodata)] = np.nan
+    return {"scene": path, "block": r.block, "first_band": r.first_band, "x0": r.x0, "y0": r.y0, "w": w, "h": h,
+            "planes": [p.ravel() for p in data], "error": None}
+
+
+def _batch(rows) -> pa.RecordBatch:
+    """Rows as Arrow, the cells of all planes as one flat buffer."""
+    planes = [p for r in rows for p in r["planes"] or ()]
+    inner = np.cumsum([0, *[len(p) for p in planes]])
+    outer = np.cumsum([0, *[len(r["planes"] or ()) for r in rows]])
+    cells = np.concatenate(planes) if planes else np.zeros(0, np.float32)
+    nested = pa.ListArray.from_arrays(
+        pa.array(outer, pa.int32()), pa.ListArray.from_arrays(pa.array(inner, pa.int32()), pa.array(cells)))
+    columns = [
+        nested if f.name == "planes" else pa.array([r[f.name] for r in rows], f.type) for f in BLOCK_ARROW
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=BLOCK_ARROW)
 
 
 def to_pixels(blocks_df: DataFrame, bands) -> DataFrame:

@@ -197,8 +197,9 @@ def item_documents(spark, sf):
         F.map_from_arrays(F.split("asset_types", ","), F.transform(
             F.split("asset_types", ","), lambda a: F.struct(F.concat(a, F.lit(".tif")).alias("href")))).alias("assets"),
     ))
+    # Documents come as many files; the tables are one file each.
     return fx.items(spark, sf).join(docs, c("collection_seq") == c("doc")).filter(
-        c("item_id").cast("bigint") % 29 != 3).select(key.alias("key"), text.alias("text"))
+        c("item_id").cast("bigint") % 29 != 3).repartition("item_id").select(key.alias("key"), text.alias("text"))
 
 
 def items_table(spark, sf):
