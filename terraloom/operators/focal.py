@@ -20,7 +20,7 @@ SCENE = ("scene",)
 
 
 def with_halo(px: DataFrame, halo: int, block: int = BLOCK, scene=SCENE) -> DataFrame:
-    """Assign pixels to blocks (``_bx, _by``), copying ``halo`` border cells."""
+    """Assign pixels to blocks (``_block``, ``_bx, _by``), copying ``halo`` border cells."""
     if halo > block:
         raise ValueError("halo must not exceed the block size")
 
@@ -29,10 +29,14 @@ def with_halo(px: DataFrame, halo: int, block: int = BLOCK, scene=SCENE) -> Data
             F.floor((F.col(axis) - halo) / block), F.floor((F.col(axis) + halo) / block)
         ))
 
+    # The shuffle key is one hash column: a constant scene column would be folded
+    # away from the windows' keys but not from the shuffle's, and each pass would
+    # shuffle again.
     return (
         px.withColumn("_bx", targets("x"))
         .withColumn("_by", targets("y"))
-        .repartition(*scene, "_bx", "_by")
+        .withColumn("_block", F.xxhash64(*scene, "_bx", "_by"))
+        .repartition("_block")
     )
 
 
@@ -40,7 +44,7 @@ def core(df: DataFrame, block: int = BLOCK) -> DataFrame:
     """Drop the halo copies."""
     return df.filter(
         (F.floor(F.col("x") / block) == F.col("_bx")) & (F.floor(F.col("y") / block) == F.col("_by"))
-    ).drop("_bx", "_by")
+    ).drop("_block", "_bx", "_by")
 
 
 def in_blocks(px: DataFrame, halo: int, *steps, block: int = BLOCK, scene=SCENE) -> DataFrame:
@@ -61,7 +65,7 @@ class Line:
     def __init__(self, axis: str, scene=SCENE):
         other = "y" if axis == "x" else "x"
         self.axis = axis
-        self.window = Window.partitionBy(*scene, "_bx", "_by", other).orderBy(axis)
+        self.window = Window.partitionBy("_block", *scene, "_bx", "_by", other).orderBy(axis)
 
     def _step(self, shift, name: str, offset: int) -> Column:
         adjacent = shift(self.axis, 1).over(self.window) == F.col(self.axis) + offset

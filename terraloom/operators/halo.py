@@ -135,9 +135,9 @@ def fill_holes(tiles: DataFrame, size: int, distance: int = 10, smoothing: int =
         wanted = valid & ~have
         if not wanted.any() or not have.any():
             return np.where(wanted, hole, padded)
-        height = padded.shape[0]
-        row = np.arange(height)[:, None]
-        far = 10 * (height + distance)
+        height, limit = padded.shape[0], distance * distance
+        row = np.arange(height, dtype=np.int32)[:, None]
+        far = np.int32(10 * (height + distance))
         values = np.where(have, padded, 0.0)
         # Row of the closest value at or above / at or below, per column.
         above = np.maximum.accumulate(np.where(have, row, -far), axis=0)
@@ -149,19 +149,18 @@ def fill_holes(tiles: DataFrame, size: int, distance: int = 10, smoothing: int =
             (over, range(0, distance + 1)), (below, range(1, distance + 1)),
             (under, range(-distance, 1)), (above, range(-distance, 0)),
         ):
-            best = np.full(padded.shape, np.inf)
-            value = np.zeros(padded.shape)
+            best = np.full(padded.shape, limit + 1, dtype=np.int32)
+            at_row, step = np.zeros_like(best), np.zeros_like(best)
             for dx in columns:
                 at = shifted(source, 0, dx, far)
-                d2 = dx * dx + (at - row) ** 2
-                nearer = wanted & (d2 <= distance * distance) & (d2 < best)
-                y, x = np.nonzero(nearer)
-                best[y, x] = d2[y, x]
-                value[y, x] = values[at[y, x], x + dx]
-            hit = np.isfinite(best)
-            pull = 1.0 / np.sqrt(best[hit])
-            weight[hit] += pull
-            total[hit] += value[hit] * pull
+                d2 = (at - row) ** 2 + dx * dx
+                nearer = d2 < best
+                for target, new in ((best, d2), (at_row, at), (step, dx)):
+                    np.copyto(target, new, where=nearer)
+            y, x = np.nonzero(wanted & (best <= limit))
+            pull = 1.0 / np.sqrt(best[y, x])
+            weight[y, x] += pull
+            total[y, x] += values[at_row[y, x], x + step[y, x]] * pull
         filled = weight > 0
         out = np.where(wanted, hole, padded)
         out[filled] = total[filled] / weight[filled]

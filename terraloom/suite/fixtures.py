@@ -31,7 +31,7 @@ def tiles(spark: SparkSession, sf: str) -> DataFrame:
     t = e.groupBy("tile").agg(*[
         F.max(F.when(c("band") == n, c("embedding"))).alias(f"e{n}") for n in range(4)
     ]).select(
-        F.lit("a").alias("scene"), (c("tile") % 5).cast("int").alias("tx"),
+        F.when(c("tile") >= 0, "a").alias("scene"), (c("tile") % 5).cast("int").alias("tx"),
         F.floor(c("tile") / 5).cast("int").alias("ty"), F.lit(SIZE).alias("w"), F.lit(SIZE).alias("h"),
         *[f"e{n}" for n in range(4)],
     )
