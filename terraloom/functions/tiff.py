@@ -6,7 +6,6 @@ import struct
 import zlib
 
 import numpy as np
-import pyarrow.fs as pafs
 
 # TIFF tag numbers.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC = 256, 257, 258, 259, 262
@@ -29,15 +28,6 @@ KINDS = {1: "uint", 2: "int", 3: "float"}
 GEO_PROJECTED, GEO_GEOGRAPHIC = 3072, 2048
 
 
-def open_file(path: str):
-    """Open any file Spark names, for reading ranges."""
-    path = path.replace("s3a://", "s3://", 1)
-    if path.startswith("file:/") and not path.startswith("file:///"):
-        path = "file://" + path[len("file:"):]
-    fs, inner = pafs.FileSystem.from_uri(path)
-    return fs.open_input_file(inner)
-
-
 def _read(file, offset: int, size: int) -> bytes:
     file.seek(offset)
     data = file.read(size)

@@ -8,7 +8,7 @@ import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
-from terraloom.functions import href as hrefs, tiff
+from terraloom.functions import files, href as hrefs
 from terraloom.sources.rasters import _tasks
 
 STATUS = "path string, target string, status string, bytes bigint, seconds double, error string"
@@ -22,8 +22,7 @@ def plan(listing: DataFrame, target: str, root: str = "", flatten: bool = False)
     of several objects with one name the first by path is copied while the rest
     count as existing.
     """
-    path = F.regexp_replace("path", "^file:/+", "/")
-    inner = hrefs.base_name(path) if flatten else F.replace(path, F.lit(root.rstrip("/") + "/"), F.lit(""))
+    inner = hrefs.base_name(F.col("path")) if flatten else files.below("path", root)
     placed = listing.select("path", "length", F.concat(F.lit(target.rstrip("/") + "/"), inner).alias("target"))
     first = placed.groupBy("target").agg(F.min("path").alias("path"))
     return placed.join(first.withColumn("first", F.lit(True)), ["target", "path"], "left").select(
@@ -42,13 +41,13 @@ def copy(planned: DataFrame, tasks: int | None = None) -> DataFrame:
     def move(row):
         if not row.first:
             return "skipped", None
-        fs, inner = pafs.FileSystem.from_uri(row.target)
+        fs, inner = files.filesystem(row.target)
         if fs.get_file_info(inner).type != pafs.FileType.NotFound:
             return "skipped", None
         fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
         part = f"{inner}.{time.time_ns()}.part"
         done = 0
-        with tiff.open_file(row.path) as source, fs.open_output_stream(part) as sink:
+        with files.open_file(row.path) as source, fs.open_output_stream(part) as sink:
             while data := source.read(CHUNK):
                 sink.write(data)
                 done += len(data)

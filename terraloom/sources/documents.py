@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from terraloom.functions import files
+
 LINK = StructType([StructField(n, StringType()) for n in ("rel", "href", "title")])
 CATALOG = StructType([
     StructField("id", StringType()),
@@ -40,9 +42,7 @@ def bad(docs: DataFrame) -> DataFrame:
 def texts(spark: SparkSession, path, root: str = "") -> DataFrame:
     """Many documents as ``(key, text)``; ``root`` is cut off the file path."""
     read = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    file = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/")
-    return read.select(F.replace(file, F.lit(root.rstrip("/") + "/"), F.lit("")).alias("key"),
-                       F.col("value").alias("text"))
+    return read.select(files.below("_metadata.file_path", root).alias("key"), F.col("value").alias("text"))
 
 
 def collections_csv(spark: SparkSession, path: str, columns=COLLECTION_COLUMNS) -> DataFrame:

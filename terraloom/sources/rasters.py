@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from terraloom.functions import tiff
+from terraloom.functions import files, tiff
 
 HEADER = (
     "path string, file_length bigint, driver string, width int, height int, band_count int, dtype string, "
@@ -57,7 +57,7 @@ def headers(listing: DataFrame, tasks: int | None = None) -> DataFrame:
         row = dict.fromkeys(names)
         row.update(path=path, file_length=length)
         try:
-            with tiff.open_file(path) as file:
+            with files.open_file(path) as file:
                 row.update(tiff.header(file))
         except Exception as failure:  # one bad file must not end the job
             row["error"] = f"{type(failure).__name__}: {failure}"
@@ -65,14 +65,14 @@ def headers(listing: DataFrame, tasks: int | None = None) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            files = batch.to_pylist()
+            listed = batch.to_pylist()
             # Block indexes can be long: a few files per batch.
-            for at in range(0, len(files), FILES_PER_BATCH):
-                rows = [one(f["path"], f["length"]) for f in files[at:at + FILES_PER_BATCH]]
+            for at in range(0, len(listed), FILES_PER_BATCH):
+                rows = [one(f["path"], f["length"]) for f in listed[at:at + FILES_PER_BATCH]]
                 yield pa.RecordBatch.from_pylist(rows, schema=HEADER_ARROW)
 
-    files = listing.select("path", "length").repartition(tasks or _tasks(listing), "path")
-    return files.mapInArrow(read, HEADER)
+    spread = listing.select("path", "length").repartition(tasks or _tasks(listing), "path")
+    return spread.mapInArrow(read, HEADER)
 
 
 def good(headers_df: DataFrame) -> DataFrame:
@@ -142,7 +142,7 @@ def _file_blocks(path, group):
                 "planes": None, "error": f"{type(failure).__name__}: {failure}"}
 
     try:
-        file = tiff.open_file(path)
+        file = files.open_file(path)
     except Exception as failure:
         yield from (failed(r, failure) for r in group.itertuples())
         return

@@ -10,10 +10,9 @@ import uuid
 
 import numpy as np
 import pandas as pd
-import pyarrow.fs as pafs
 from pyspark.sql import functions as F
 
-from terraloom.functions import href as hrefs
+from terraloom.functions import files, href as hrefs
 from terraloom.operators import catalog, inventory, transfer
 from terraloom.session import shared_folder
 from terraloom.sources import documents as docs_source, listing, rasters, sinks
@@ -35,7 +34,7 @@ def folder(spark) -> str:
 def put(df, root: str) -> None:
     """Write ``(key, body)`` rows as files."""
     def write(batches):
-        fs, inner = pafs.FileSystem.from_uri(root)
+        fs, inner = files.filesystem(root)
         for pdf in batches:
             for key, body in zip(pdf["key"], pdf["body"]):
                 name = f"{inner}/{key}"
@@ -48,7 +47,7 @@ def put(df, root: str) -> None:
 
 
 def relative(path, root):
-    return F.replace(listing.local_path(path), F.lit(root + "/"), F.lit(""))
+    return files.below(path, root)
 
 
 # ---- documents ------------------------------------------------------------
