@@ -102,7 +102,7 @@ def report(assessed: DataFrame, size_mb: str = "size_mb", cog: str = "is_cog_b")
     summed = base.select("*", F.inline(sides)).groupBy("part", "name").agg(
         *[F.sum(n).alias(n) for n in ("files", "total_mb", "cog", "tiled", "overview")]
     )
-    all_files = assessed.agg(F.count(F.lit(1)).alias("all")).scalar()
+    all_files = base.agg(F.sum("files").alias("all")).scalar()
     return summed.select(
         "part", "name", "files", (F.col("files") / all_files * 100).alias("pct"), "total_mb",
         (F.col("total_mb") / F.col("files")).alias("mean_mb"),

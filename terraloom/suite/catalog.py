@@ -17,8 +17,8 @@ COLUMNS = "href, title, path, region, sub_region, type, crs, base_year, year_ran
 
 
 def catalogue_docs(spark, sf):
-    """Sixteen catalogue documents holding all links."""
-    return fx.links(spark, sf).groupBy((c("seq") % 16).alias("part")).agg(
+    """Catalogue documents of 128 links each."""
+    return fx.links(spark, sf).groupBy(F.floor(c("seq") / 128).alias("part")).agg(
         F.collect_list(F.struct("rel", "href", "title")).alias("links"))
 
 

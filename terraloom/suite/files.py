@@ -61,13 +61,13 @@ def catalogue_files(spark, sf):
     return docs_source.catalog(spark, root)
 
 
-@query("s01_catalog_json", L + "SELECT rel, href, title FROM links WHERE (seq % 16) % 5 <> 3")
+@query("s01_catalog_json", L + "SELECT rel, href, title FROM links WHERE (seq // 128) % 5 <> 3")
 def catalog_json(spark, sf):
     good = docs_source.good(catalogue_files(spark, sf))
     return good.select(F.inline("links")).select("rel", "href", "title")
 
 
-@query("s01_bad_json", L + "SELECT COUNT(DISTINCT seq % 16) AS bad FROM links WHERE (seq % 16) % 5 = 3")
+@query("s01_bad_json", L + "SELECT COUNT(DISTINCT seq // 128) AS bad FROM links WHERE (seq // 128) % 5 = 3")
 def bad_json(spark, sf):
     return docs_source.bad(catalogue_files(spark, sf)).agg(F.count(F.lit(1)).alias("bad"))
 

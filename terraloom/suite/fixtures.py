@@ -166,7 +166,7 @@ collections AS (SELECT seq, rel, href, title, folder AS path, REPLACE(p[1], '-',
 
 
 def items(spark: SparkSession, sf: str) -> DataFrame:
-    """Items with boxes: 1 in 19 has none."""
+    """Items with boxes: 1 in 19 has none; a collection holds one customer's orders."""
     c = F.col
     o, k = c("o_orderkey"), c("o_custkey")
 
@@ -177,7 +177,7 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
         o % 3 == 1, F.concat(F.lit("https://host/a/b/"), o.cast("string"), F.lit(".json"))
     ).otherwise(F.concat(o.cast("string"), F.lit(".json")))
     return table(spark, sf, "orders").select(
-        o.cast("string").alias("item_id"), (k % 200).alias("collection_seq"),
+        o.cast("string").alias("item_id"), k.alias("collection_seq"),
         box(1000000 + o % 400 * 240).alias("minx"), box(5000000 + k % 300 * 360).alias("miny"),
         box(1000240 + o % 400 * 240).alias("maxx"), box(5000360 + k % 300 * 360).alias("maxy"),
         c("o_orderdate").alias("acquired"),
@@ -187,7 +187,7 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ITEMS_SQL = """
-items AS (SELECT CAST(o_orderkey AS VARCHAR) AS item_id, o_custkey % 200 AS collection_seq,
+items AS (SELECT CAST(o_orderkey AS VARCHAR) AS item_id, o_custkey AS collection_seq,
     CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE CAST(1000000 + (o_orderkey % 400) * 240 AS DOUBLE) END AS minx,
     CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE CAST(5000000 + (o_custkey % 300) * 360 AS DOUBLE) END AS miny,
     CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE CAST(1000240 + (o_orderkey % 400) * 240 AS DOUBLE) END AS maxx,
