@@ -4,9 +4,10 @@ import pytest
 
 import check
 import __spark_entry__ as contract
+from terraloom.suite import all_oracles, all_queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = dict(all_queries()), dict(all_oracles())
 # Run in full elsewhere in the tests, or have no SQL form.
 ROWS_ONLY = {"a16_fingerprint", "g02_item_wkb"}
 
