@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import functions as F
 
 from terraloom.session import ship
-from terraloom.llm import sharding
+from terraloom.llm import quality, sharding
 
 QUERIES, ORACLES = {}, {}
 
@@ -35,3 +35,11 @@ def table(spark, sf, name):
 def op8(spark, sf):
     return sharding.by_bytes(table(spark, sf, "documents"), 16).withColumns(
         {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query("op7_risk_controlled")
+def op7(spark, sf):
+    df = quality.judged(table(spark, sf, "documents"), table(spark, sf, "labels"), keep=["doc_id"])
+    return df.select(
+        "doc_id", "_q.n_words", "_q.word_chars", "_q.n_symbols", "_q.n_dup_lines", "_q.n_repeat_words",
+        F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
