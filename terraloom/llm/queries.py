@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import functions as F
 
 from terraloom.session import ship
-from terraloom.llm import quality, sharding
+from terraloom.llm import quality, reputation, sharding, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -43,3 +43,32 @@ def op7(spark, sf):
     return df.select(
         "doc_id", "_q.n_words", "_q.word_chars", "_q.n_symbols", "_q.n_dup_lines", "_q.n_repeat_words",
         F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
+
+
+#: The rules of the contract.
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+]
+
+
+@query("op5_host_reputation")
+def op5(spark, sf):
+    outcomes = table(spark, sf, "labels").select(
+        F.col("doc_id").alias("page_id"), F.greatest(1 - F.col("quality"), F.col("toxic")).alias("bad"))
+    return reputation.judged(table(spark, sf, "pages"), outcomes, URL_RULES)
+
+
+@query("op6_content_addressed", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+    g AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+    SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+        array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + (((('0x' || substr(h, (5 * (k // 4) + 1)::INT, 5))::BIGINT) >> (15 - 5 * (k % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
+        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> first THEN first END AS refers_to,
+        TRUE AS verified
+    FROM g""")
+def op6(spark, sf):
+    folder = warc.new_folder(spark)
+    warc.write(table(spark, sf, "pages"), folder, min_bytes=0)
+    return warc.parsed(warc.records(spark, folder))
