@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import functions as F
 
 from terraloom.session import ship
-from terraloom.llm import quality, reputation, sharding, warc
+from terraloom.llm import phrases, quality, reputation, sharding, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -72,3 +72,9 @@ def op6(spark, sf):
     folder = warc.new_folder(spark)
     warc.write(table(spark, sf, "pages"), folder, min_bytes=0)
     return warc.parsed(warc.records(spark, folder))
+
+
+@query("op10_prefix_free_parsing")
+def op10(spark, sf):
+    df = phrases.deduplicated(table(spark, sf, "documents"), 50, keep=["doc_id"], with_text=False)
+    return df.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
