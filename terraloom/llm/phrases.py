@@ -288,7 +288,7 @@ def _strings(text, left, right, gram, doc, at, k: int, length: int) -> np.ndarra
     lanes = cut.view("<u8")
     out = np.zeros(len(ok), STRING)
     for name, b in (("a", 3), ("b", 30)):
-        out[name] = _mixed((lanes * _ODD[b: b + lanes.shape[1]]).sum(1, dtype=np.uint64) + np.uint64(k) * _ODD[b + 20])
+        out[name] = _mixed((lanes * _ODD[b: b + lanes.shape[1]]).sum(1, dtype=np.uint64) + _ODD[b + 20: b + 21] * np.uint64(k))
     out["doc"], out["at"], out["k"] = doc[ok], at[ok], k
     return out
 

@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import functions as F
 
 from terraloom.session import ship
-from terraloom.llm import phrases, quality, reputation, sharding, warc
+from terraloom.llm import packing, phrases, quality, reputation, sharding, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -27,6 +27,12 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -78,3 +84,8 @@ def op6(spark, sf):
 def op10(spark, sf):
     df = phrases.deduplicated(table(spark, sf, "documents"), 50, keep=["doc_id"], with_text=False)
     return df.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
+
+
+@query("op1_nnls_packing")
+def op1(spark, sf):
+    return packing.packed(table(spark, sf, "documents"), tokenizer())
