@@ -39,3 +39,8 @@ def bytes_of(docs: DataFrame, text: str) -> int:
 def unit(*cols: str | Column, seed: int = 0) -> Column:
     """A number in [0, 1) that depends on the columns only, not on the run."""
     return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11)).cast("double") / F.lit(float(1 << 53))
+
+
+def listed(table, name: str) -> list:
+    """A column of one side of a cogroup as a list; that side has no columns where it has no rows."""
+    return table.column(name).to_pylist() if table.num_rows else []

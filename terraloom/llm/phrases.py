@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from terraloom.llm.common import bytes_of
+from terraloom.llm.common import bytes_of, listed
 
 GRAM = 20
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
@@ -251,8 +251,8 @@ def _describe(doc_id: str, text_name: str, length: int, buckets: int):
         chunk = _chunk(table, doc_id, text_name)
         place, gram, row = chunk.triggers(length)
         g, n = _local(gram, row)
-        shared = np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(x, "<u8") for x in replies.column("grams").to_pylist())])
-        hot = np.concatenate([np.zeros(0, bool), *(np.frombuffer(x, bool) for x in replies.column("hot").to_pylist())])
+        shared = np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(x, "<u8") for x in listed(replies, "grams"))])
+        hot = np.concatenate([np.zeros(0, bool), *(np.frombuffer(x, bool) for x in listed(replies, "hot"))])
         order = np.argsort(shared)
         shared, hot = shared[order], hot[order]
         inside, _ = _known(g[n > 1], gram)
@@ -396,7 +396,7 @@ def _finish(doc_id: str, text: str, length: int, keep: list[str], with_text: boo
         if not table.num_rows:
             return schema.empty_table()
         chunk = _chunk(table, doc_id, text)
-        gone = removed(chunk, replies.column("body").to_pylist(), length)
+        gone = removed(chunk, listed(replies, "body"), length)
         body = chunk.bytes[chunk.pad: len(chunk.bytes) - chunk.pad]
         total = np.concatenate([[0], np.cumsum(gone)])
         opens = gone.copy()

@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import functions as F
 
 from terraloom.session import ship
-from terraloom.llm import packing, phrases, quality, reputation, sharding, warc
+from terraloom.llm import packing, partenum, phrases, quality, reputation, sharding, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -89,3 +89,8 @@ def op10(spark, sf):
 @query("op1_nnls_packing")
 def op1(spark, sf):
     return packing.packed(table(spark, sf, "documents"), tokenizer())
+
+
+@query("op2_partenum")
+def op2(spark, sf):
+    return partenum.joined(table(spark, sf, "documents"))
