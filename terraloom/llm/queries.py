@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import functions as F
 
 from terraloom.session import ship
-from terraloom.llm import packing, partenum, phrases, quality, reputation, sharding, warc
+from terraloom.llm import packing, partenum, phrases, pivots, quality, reputation, sharding, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -94,3 +94,8 @@ def op1(spark, sf):
 @query("op2_partenum")
 def op2(spark, sf):
     return partenum.joined(table(spark, sf, "documents"))
+
+
+@query("op4_pivot_permutation")
+def op4(spark, sf):
+    return pivots.near_duplicates(table(spark, sf, "embeddings"), 0.9)
