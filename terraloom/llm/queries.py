@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import functions as F
 
 from terraloom.session import ship
-from terraloom.llm import packing, partenum, phrases, pivots, quality, reputation, sharding, warc
+from terraloom.llm import chat, mixing, packing, partenum, phrases, pivots, quality, reputation, sharding, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -99,3 +99,15 @@ def op2(spark, sf):
 @query("op4_pivot_permutation")
 def op4(spark, sf):
     return pivots.near_duplicates(table(spark, sf, "embeddings"), 0.9)
+
+
+@query("op3_temperature_mixing")
+def op3(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "source", mixing.token_count("text").alias("n_tokens"))
+    df = mixing.mixed(docs, max_repeats=1.25, tokens=F.col("n_tokens"))
+    return df.select("doc_id", "source", "n_tokens", F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_place").alias("place"))
+
+
+@query("op9_role_repair")
+def op9(spark, sf):
+    return chat.repaired(table(spark, sf, "conversations"))
