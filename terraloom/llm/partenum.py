@@ -31,7 +31,7 @@ from terraloom.llm.common import bytes_of, listed, saved
 from terraloom.llm.graph import components
 
 WORDS = 5
-CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
+CHUNK_BYTES, BUCKET_BYTES, BLOCK = 4 << 20, 16 << 20, 256
 #: Elements a partition holds at most on average, for the largest sets of a band.
 FILL = 2.2
 LOW40 = np.uint64((1 << 40) - 1)
@@ -322,6 +322,90 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "_left", "_right").mapInArrow(_checked, "a long, b long")
 
 
+def _rest(crowd: DataFrame, sets: DataFrame, tasks: int) -> DataFrame:
+    """Links across components under the signatures of ``crowd`` (key, doc, component, _lead): a spanning set of them.
+
+    Documents that signatures connect are cut into blocks, large components
+    into some of their own.  Two blocks meet once, if a signature is in both and
+    they are not one component already; what they find comes back as links, not pairs.
+    """
+    clusters = components(crowd.select("_lead", "doc"), "_lead", "doc").withColumnsRenamed({"node": "doc", "component": "_cluster"})
+    docs = crowd.select("doc", "component").distinct().join(clusters, "doc", "left").withColumn("_cluster", F.coalesce("_cluster", "doc"))
+    large = docs.groupBy("component").agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") > BLOCK // 2)
+    docs = docs.join(large, "component", "left")
+    small = docs.filter("_m IS NULL").groupBy("_cluster").agg(F.count(F.lit(1)).alias("_s"))
+    docs = docs.join(small, "_cluster", "left")
+
+    def part(of: str, rows: str):
+        return F.pmod(F.xxhash64(of), F.ceil(F.col(rows) / BLOCK))
+
+    docs = saved(docs.select("doc", "component", F.when(
+        F.col("_m").isNotNull(), F.xxhash64(F.lit(1), "component", part("doc", "_m"))).otherwise(
+        F.xxhash64(F.lit(2), "_cluster", part("component", "_s"))).alias("block")), "blocks")
+    seen = crowd.select("key", "doc").join(docs, "doc").groupBy("key", "block").agg(F.min("component").alias("_x"), F.max("component").alias("_y"))
+    one, two = (seen.select("key", F.col("block").alias(b), F.col("_x").alias(f"_x{i}"), F.col("_y").alias(f"_y{i}")) for i, b in ((1, "low"), (2, "high")))
+    meetings = saved(one.join(two, "key").filter("low <= high AND NOT (_x1 = _y1 AND _x2 = _y2 AND _x1 = _x2)").select("low", "high").distinct(), "meetings")
+    sides = meetings.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
+    placed = sides.join(docs, "block").join(sets, "doc").withColumn("share", F.pmod(F.xxhash64("low", "high"), F.lit(max(tasks, 1))).cast("int"))
+    # A task's share is one meeting at a time where there are many.
+    group = F.struct("share", F.pmod(F.xxhash64("high", "low"), F.lit(64)).alias("part"))
+    return placed.withColumn("_group", group).groupBy("_group").applyInArrow(_met_blocks, _ddl(PAIRS)).distinct()
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Elements in common of every set of one side with every one of the other."""
+    x, y = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(x, y)
+    rows_x, rows_y = (np.repeat(np.arange(len(s)), [len(e) for e in s]) for s in (left, right))
+    (in_x, at_x), (in_y, at_y) = _where(both, x), _where(both, y)
+    out = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, len(both), 4096):
+        a, b = np.zeros((len(left), 4096), np.float32), np.zeros((len(right), 4096), np.float32)
+        for grid, rows, found, at in ((a, rows_x, in_x, at_x), (b, rows_y, in_y, at_y)):
+            use = found & (at >= low) & (at < low + 4096)
+            grid[rows[use], at[use] - low] = 1
+        out += a @ b.T
+    return out
+
+
+def _where(values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(values, x), max(len(values) - 1, 0))
+    return (values[at] == x if len(values) else np.zeros(len(x), bool)), at
+
+
+def _met_blocks(table: pa.Table) -> pa.Table:
+    low, high, block, doc, part = (np.array(table.column(c).to_pylist(), np.int64) for c in ("low", "high", "block", "doc", "component"))
+    bodies, found = table.column("body"), []
+    order = np.lexsort((doc, block, high, low))
+    cuts = np.flatnonzero((np.diff(low[order], prepend=low[order[0]] - 1) != 0) | (np.diff(high[order], prepend=high[order[0]] - 1) != 0))
+    for rows in np.split(order, cuts[1:]):
+        sets = [_from_five(bodies[int(i)].as_py()) for i in rows]
+        size = np.array([len(s) for s in sets])
+        x, y = np.flatnonzero(block[rows] == low[rows]), np.flatnonzero(block[rows] == high[rows])
+        common = _overlaps([sets[i] for i in x], [sets[i] for i in y])
+        near = (7 * common >= 3 * (size[x][:, None] + size[y][None, :])) & (part[rows][x][:, None] != part[rows][y][None, :])
+        a, b = np.nonzero(near)
+        a, b = x[a], y[b]
+        _, root = np.unique(part[rows], return_inverse=True)
+        names = np.arange(root.max() + 1)
+        ends = np.stack([root[a], root[b]])
+        while len(a):  # keep links that join components not joined yet
+            hooked = names.copy()
+            top, bottom = np.maximum(*names[ends]), np.minimum(*names[ends])
+            use = top != bottom
+            if not use.any():
+                break
+            first = np.unique(top[use], return_index=True)
+            at = np.flatnonzero(use)[first[1]]
+            found.append(np.stack([doc[rows][a[at]], doc[rows][b[at]]], 1))
+            hooked[first[0]] = bottom[at]
+            while (hooked[hooked] != hooked).any():
+                hooked = hooked[hooked]
+            names = hooked[names]
+    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    return pa.table([pa.array(pairs.min(1)), pa.array(pairs.max(1))], schema=PAIRS)
+
+
 def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id of every document: the smallest id it reaches by links of
     Jaccard similarity 3/4 or more between sets of ``words``-word shingles.
@@ -359,20 +443,14 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     links = saved(_links(pairs, sets), "similar")
     parts = components(links)
 
-    # Signatures that still span components: every pair across them that was not checked yet.
-    members = saved(
+    # Signatures that still span components: the rest of their pairs, block by block.
+    members = (
         found.filter(F.col("members").isNotNull()).select("members").mapInArrow(_unpacked, "key long, doc long, n long")
-        .filter(F.col("doc") != nobody)
-        .join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")), "members")
-    mixed = members.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).filter("_x <> _y").select("key")
-    crowd = members.join(mixed, "key", "left_semi")
-    x, y = crowd.select(F.col("doc").alias("a"), "key", F.col("n").alias("_na"), F.col("component").alias("_ca")), crowd.select(
-        F.col("doc").alias("b"), "key", F.col("n").alias("_nb"), F.col("component").alias("_cb"))
-    rest = (
-        x.join(y, "key").filter("a < b AND _ca <> _cb AND 4 * least(_na, _nb) >= 3 * greatest(_na, _nb)")
-        .select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    )
-    more = saved(_links(rest, sets), "similar")
+        .filter(F.col("doc") != nobody).select("key", "doc")
+        .join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")))
+    mixed = members.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y"), F.min("doc").alias("_lead")).filter("_x <> _y")
+    crowd = saved(members.join(mixed.select("key", "_lead"), "key"), "crowd")
+    more = saved(_rest(crowd, sets, tasks), "similar")
     parts = components(links.union(more)) if more.take(1) else parts
 
     told = named.drop("text").join(
