@@ -18,13 +18,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     edges = links.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("u")).filter(
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("v") != F.col("u"))).distinct()
-    edges, mark = saved(edges, "links"), None
     while True:
         edges = saved(_small_star(_large_star(edges)), "links")
-        now = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("v", "u")).alias("x"), F.sum(F.hash("v", "u").cast("long")).alias("s")).first()
-        if now == mark:
+        # Done when each node hangs under one that hangs under none.
+        twice = edges.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("v")
+        deep = edges.select("u").join(edges.select(F.col("v").alias("u")), "u", "left_semi").select(F.col("u").alias("v"))
+        if not twice.union(deep).take(1):
             break
-        mark = now
     # Every other node now hangs directly under the smallest of its component.
     return edges.select(F.col("v").alias("node"), F.col("u").alias("component")).union(
         edges.select("u", "u")).groupBy("node").agg(F.min("component").alias("component"))
