@@ -38,7 +38,11 @@ def usable(vector: str | Column) -> Column:
 
 
 def choose(sample: list[list[float]], wanted: int = PIVOTS, apart: float = APART) -> np.ndarray:
-    """Unit pivots from the sample in its order, each far from those before; short vectors are filled with zeros."""
+    """Unit pivots from the sample in its order, each far from those before; short vectors are filled with zeros.
+
+    Few far pivots serve better than many close ones: two reference points inside
+    one dense group are ordered by chance.
+    """
     if not sample:
         return np.zeros((0, 0))
     rows = np.zeros((len(sample), max(map(len, sample))))
@@ -46,13 +50,12 @@ def choose(sample: list[list[float]], wanted: int = PIVOTS, apart: float = APART
         rows[i, : len(v)] = v
     rows = unit(rows)
     out = [0]
-    for limit in (apart, 0.9, 0.999):  # where the sample has too few that far apart, nearer ones follow
-        nearest = (rows @ rows[out].T).max(1)
-        for i in range(len(rows)):
-            if len(out) < wanted and nearest[i] < limit:
-                out.append(i)
-                nearest = np.maximum(nearest, rows @ rows[i])
-    return rows[out[:wanted]]
+    closest = rows @ rows[0]
+    for i in range(1, len(rows)):
+        if len(out) < wanted and closest[i] < apart:
+            out.append(i)
+            closest = np.maximum(closest, rows @ rows[i])
+    return rows[out]
 
 
 def unit(x: np.ndarray) -> np.ndarray:

@@ -134,7 +134,7 @@ def reputations(outcomes: DataFrame, worst: float = 0.3, sure: float = 0.9, weak
     everything = suffixes.groupBy("all").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
     def with_weight(level: DataFrame, name: str, children: DataFrame) -> DataFrame:
-        return level.join(_weights(children, name, weakest, strongest), name, "left").fillna({"_weight": float(strongest)})
+        return level.join(_weights(children, name, weakest, strongest), name, "left").fillna({"_weight": float(weakest)})  # without labels below it
 
     top = with_weight(_shrunk(everything, "all", None, None, weakest, strongest), "all", suffixes)
     level = with_weight(_shrunk(suffixes, "suffix", top, "all", weakest, strongest), "suffix", domains)
