@@ -18,6 +18,7 @@ CLASS_LABELS = {
     2: "Low vegetation",
     3: "High vegetation (trees)",
 }
+TWO_CLASS_LABELS = {0: "Non-vegetation", 1: "Vegetation"}
 
 
 def known(value: Column) -> Column:

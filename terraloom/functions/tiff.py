@@ -40,8 +40,9 @@ def _directory(file, order: str, big: bool, at: int) -> tuple[dict, int]:
     """One image file directory: tag -> values, and the offset of the next one."""
     head, entry, word = (8, 20, "Q") if big else (2, 12, "I")
     (count,) = struct.unpack(order + ("Q" if big else "H"), _read(file, at, head))
-    if count > 4096:
-        raise ValueError("directory too long")
+    file.seek(0, 2)
+    if at + head + count * entry > file.tell():
+        raise ValueError("directory runs past the end of the file")
     body = _read(file, at + head, count * entry + struct.calcsize(word))
     tags = {}
     for i in range(count):

@@ -14,17 +14,39 @@ from pyspark.sql import Column, functions as F
 from terraloom.functions import indices
 
 
+def _cells(column: pa.Array, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The cells of a band laid out row by row on the lengths of the batch; NaN where the band has none."""
+    own = np.where(column.is_null().to_numpy(zero_copy_only=False), 0, np.diff(column.offsets.to_numpy()))
+    begin = column.offsets.to_numpy()[:-1]
+    values = column.values.to_numpy(zero_copy_only=False).astype(np.float64)
+    if (own == lengths).all():
+        if own.sum() == len(values):
+            return values
+        rows = np.repeat(begin - starts, own)
+        return values[rows + np.arange(len(rows))]
+    out = np.full(int(lengths.sum()), np.nan)
+    step = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
+    out[np.repeat(starts, own) + step] = values[np.repeat(begin, own) + step]
+    return out
+
+
 def pointwise(fn, *arrays: str | Column) -> Column:
-    """``fn(*float64 arrays) -> array`` over the cells of equal-length tile arrays."""
+    """``fn(*float64 arrays) -> array`` over the cells of tile arrays.
+
+    Rows stand alone: a tile whose band is null or shorter has NaN for the
+    cells it lacks, and a tile without any band gives null.
+    """
 
     @F.arrow_udf("array<float>")
     def run(*columns: pa.Array) -> pa.Array:
-        first = columns[0]
-        values = [c.flatten().to_numpy(zero_copy_only=False).astype(np.float64) for c in columns]
+        there = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in columns])
+        lengths = np.max([np.where(v, np.diff(c.offsets.to_numpy()), 0) for v, c in zip(there, columns)], axis=0)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        values = [_cells(c, ends[:-1], lengths) for c in columns]
         with np.errstate(divide="ignore", invalid="ignore"):
             out = fn(*values).astype(np.float32)
-        ends = first.offsets.to_numpy()
-        return pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), pa.array(out))
+        return pa.ListArray.from_arrays(
+            pa.array(ends, pa.int32()), pa.array(out), mask=pa.array(~there.any(axis=0)))
 
     return run(*arrays)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from terraloom.functions import indices
 from terraloom.operators.joins import lookup
+from terraloom.operators.tiles import without_nan
 
 c = F.col
 
@@ -58,6 +59,7 @@ def hsv(px: DataFrame, scene=("scene",)) -> DataFrame:
     A scene whose largest band value does not exceed 1 is scaled by 255 first;
     both cases are truncated to whole numbers.
     """
+    px = without_nan(px, ("red", "green", "blue"))
     top = px.groupBy(*scene).agg(F.max(F.greatest("red", "green", "blue")).alias("_top"))
     scaled = lookup(px, top, list(scene))
     gain = F.when(c("_top") > 1, 1.0).otherwise(255.0)
@@ -66,7 +68,8 @@ def hsv(px: DataFrame, scene=("scene",)) -> DataFrame:
 
 
 def stretch(px: DataFrame, scene=("scene",)) -> DataFrame:
-    """Add ``red_01, green_01, blue_01``: min-max stretch over the three bands."""
+    """Add ``red_01, green_01, blue_01``: min-max stretch over the cells that the three bands have."""
+    px = without_nan(px, ("red", "green", "blue"))
     span = px.groupBy(*scene).agg(
         F.min(F.least("red", "green", "blue")).alias("_low"),
         F.max(F.greatest("red", "green", "blue")).alias("_high"),

@@ -202,25 +202,39 @@ def closing(px: DataFrame, mask: str, element: str = "square", iterations: int =
 
 def clean_classes(px: DataFrame, value: str = "class", iterations: int = 2,
                   element: str = "cross", out: str = "cleaned",
-                  block: int = BLOCK, scene=SCENE) -> DataFrame:
-    """Close each class from 1 to 62; where closed classes overlap the higher wins."""
-    step = clean_step(value, iterations, element, out, scene)
+                  block: int = BLOCK, scene=SCENE, codes=None) -> DataFrame:
+    """Close each class; where closed classes overlap the higher wins.
+
+    Codes from 1 to 62 need no list; with ``codes`` any positive ones may occur.
+    A code that is neither raises an error, so none is ever mistaken for another.
+    """
+    step = clean_step(value, iterations, element, out, scene, codes)
     return in_blocks(px, 2 * iterations, step, block=block, scene=scene)
 
 
-def clean_step(value="class", iterations=2, element="cross", out="cleaned", scene=SCENE):
+def clean_step(value="class", iterations=2, element="cross", out="cleaned", scene=SCENE, codes=None):
     """The step behind ``clean_classes``; reach ``2 * iterations``."""
+    codes = sorted(codes or range(1, 63))
+    known, kind = set(codes), "tinyint" if codes[-1] < 128 else "int"
+    groups = [codes[i:i + 62] for i in range(0, len(codes), 62)]
 
     def step(df):
         kept = [c for c in df.columns if c != out]
         code = F.col(value).cast("int")
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), code)
-        df = df.withColumn("_bits", F.when(code > 0, bit).otherwise(F.lit(0)).cast("long"))
-        df = _close_bits(df, "_bits", element, iterations, scene)
-        top = F.length(F.bin("_bits")) - 1
-        return df.withColumn(
-            out, F.when(F.col("_bits") > 0, top).otherwise(code).cast("tinyint")
-        ).select(*kept, out)
+        allowed = (code <= 0) | code.isNull() | (
+            code.isin(*known) if codes != list(range(1, 63)) else code <= 62)
+        code = F.when(allowed, code).otherwise(F.raise_error(F.concat(F.lit("class not among the codes: "), code)))
+        closed = code
+        for group in groups:
+            at = code if group == list(range(1, 63)) else F.array_position(F.lit(group), code)
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.cast("int"))
+            df = df.withColumn("_bits", F.when((code > 0) & (at > 0), bit).otherwise(F.lit(0)).cast("long"))
+            df = _close_bits(df, "_bits", element, iterations, scene)
+            top = F.length(F.bin("_bits")) - 1
+            name = f"_top{group[0]}"
+            df = df.withColumn(name, F.when(F.col("_bits") > 0, top if at is code else F.element_at(F.lit(group), top)))
+            closed = F.coalesce(F.col(name), closed)
+        return df.withColumn(out, closed.cast(kind)).select(*kept, out)
 
     return step
 

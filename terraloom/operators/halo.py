@@ -110,12 +110,12 @@ def closing(tiles: DataFrame, size: int, element: str = "square", iterations: in
 
 
 def clean_classes(tiles: DataFrame, size: int, iterations: int = 2, element: str = "cross",
-                  classes=(1, 2, 3)) -> DataFrame:
-    """Per-class closing of a class tile; the higher class wins."""
+                  classes=None) -> DataFrame:
+    """Per-class closing of a class tile, for ``classes`` or every positive code; the higher class wins."""
 
     def clean(padded, valid):
         out = padded.copy()
-        for code in sorted(classes):
+        for code in sorted(np.unique(padded[padded > 0]) if classes is None else classes):
             out[close_mask(padded == code, valid, element, iterations)] = code
         return out
 

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_CHARS = 64 * 1024 * 1024
 
-# A key counts as hot above this share of the rows, so at most 1 / HOT_SHARE
-# keys can be hot whatever the data: the table of hot keys is always small.
-HOT_SHARE = 0.001
+# A key counts as hot from ``min_rows`` on, and never below this share of the
+# rows, so the table of hot keys fits a broadcast whatever the data.
+HOT_SHARE = 1 / BROADCAST_ROWS
 
 
 def is_small(df: DataFrame) -> bool:
@@ -25,7 +25,7 @@ def is_small(df: DataFrame) -> bool:
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = 100_000) -> DataFrame:
-    """Keys holding more than ``HOT_SHARE`` of the rows, with a split count.
+    """Keys with ``min_rows`` rows and more than ``HOT_SHARE`` of all, with a split count.
 
     At most ``1 / HOT_SHARE`` rows, so the result may be broadcast.
     """

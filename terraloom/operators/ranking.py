@@ -2,41 +2,46 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window, functions as F
 
+from terraloom.session import shared_folder
+
+#: Rows of a piece, about.
+PIECE_ROWS = 500_000
+
 
 def row_numbers(df: DataFrame, group: str, order: list[str], out: str = "i", total: str = "n",
-                pieces: int = 64) -> DataFrame:
-    """Add ``i`` (1-based, by ``order``) and ``n`` within each group.
+                pieces: int | None = None) -> DataFrame:
+    """Add ``i`` (1-based, by ``order``) and ``n`` within each group; null groups are a group.
 
-    ``order`` must be unique inside a group.  Groups are cut at values taken
-    from a bounded sample (lowest hashes), rows are numbered inside a piece and
-    the sizes of the earlier pieces are added.  The cut points only decide the
-    balance, never the numbers, so a hot group is spread and stays exact.
+    ``order`` must be unique inside a group.  Rows are range-partitioned by
+    group and order into as many pieces as their number asks for (or
+    ``pieces``), numbered inside a piece as they are written, and the sizes of
+    the group's earlier pieces are added.  The cut points decide the balance,
+    never the numbers, so a hot group is spread and stays exact.
     """
-    key = F.struct(group, *order)
-    sample = [r[0] for r in df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(pieces * 16).collect()]
-    sample.sort(key=lambda r: tuple((v is not None, v) for v in r))
-    # Quoted literals keep any text safe; a struct compares like the sort order.
-    cuts = sample[:: max(1, len(sample) // pieces)]
-    fields = df.select(key.alias("k")).schema[0].dataType.fields
-    bounds = F.array(*[
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, fields)]) for cut in cuts
-    ]) if cuts else F.array()
-    piece = F.size(F.filter(bounds, lambda c: c <= key)) if cuts else F.lit(0)
-    cut_df = df.withColumn("_piece", piece)
-    sizes = cut_df.groupBy(group, "_piece").agg(F.count(F.lit(1)).alias("_m"))
-    # At most one row per group and cut: sorted by piece inside the group.
+    if pieces is None:
+        pieces = max(1, -(-df.count() // PIECE_ROWS))
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(pieces, group, *order).withColumn("_piece", F.spark_partition_id())
+    # The pieces are written once: sampling again might cut elsewhere.
+    path = f"{shared_folder(spark)}/pieces-{uuid.uuid4().hex}"
+    ranged.write.parquet(path)
+    cut = spark.read.schema(ranged.schema).parquet(path)
+    # At most one row per group and piece.
+    sizes = cut.groupBy(group, "_piece").agg(F.count(F.lit(1)).alias("_m"))
     before = Window.partitionBy(group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        group, "_piece",
+        F.col(group).alias("_group"), F.col("_piece").alias("_of"),
         F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_skip"),
         F.sum("_m").over(Window.partitionBy(group)).alias(total),
     )
     inside = Window.partitionBy(group, "_piece").orderBy(*order)
+    numbered = cut.withColumn("_i", F.row_number().over(inside))
     return (
-        cut_df.withColumn("_i", F.row_number().over(inside))
-        .join(offsets, [group, "_piece"])
+        numbered.join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_piece") == F.col("_of")))
         .withColumn(out, F.col("_i") + F.col("_skip"))
-        .drop("_i", "_piece", "_skip")
+        .drop("_i", "_piece", "_skip", "_group", "_of")
     )

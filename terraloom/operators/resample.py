@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terraloom.operators.joins import lookup
+from terraloom.operators.tiles import without_nan
 
 SCENE = ("scene",)
 
@@ -34,7 +35,7 @@ def to_grid(px: DataFrame, bands, ratio_x: float, ratio_y: float, width: int, he
     Each source cell is sent to the targets it touches and partial sums meet in
     one aggregation: no join, and the combine runs before the shuffle.
     """
-    keys = [F.col(s) for s in scene]
+    keys, px = [F.col(s) for s in scene], without_nan(px, bands)
     if method == "average":
         cells = px.withColumns({
             "_X": F.floor((F.col("x") + 0.5 - shift_x) / ratio_x),
@@ -103,7 +104,9 @@ def overview(px: DataFrame, bands, factor: int, method: str = "average",
 
     ``size`` is the raster's (width, height); without it the extent is
     aggregated per scene.  ``nearest`` is a filter and needs no shuffle.
+    Missing cells, null or NaN, are left out of a mean.
     """
+    px = without_nan(px, bands)
     if size is None:
         px = lookup(px, extent(px, scene), list(scene))
         width, height = F.col("width"), F.col("height")

@@ -48,7 +48,7 @@ def classes(px: DataFrame, value: str = "class", labels: dict | None = None, sce
     """Class histogram with percentages and labels."""
     labels = indices.CLASS_LABELS if labels is None else labels
     counts = px.groupBy(*scene, value).agg(F.count(F.lit(1)).alias("cells"))
-    total = F.sum("cells").over(Window.partitionBy(*scene) if scene else Window.partitionBy(F.lit(1)))
+    total = F.sum("cells").over(Window.partitionBy(*scene)) if scene else counts.agg(F.sum("cells")).scalar()
     names = F.create_map(*[F.lit(v) for pair in labels.items() for v in pair])
     return counts.select(
         *scene, value, F.try_element_at(names, F.col(value).cast("int")).alias("label"),
@@ -76,8 +76,9 @@ def approx(px: DataFrame, value: str, step: int = 4, scene=SCENE) -> DataFrame:
 
 def quantiles(px: DataFrame, value: str, shares=(0.25, 0.5, 0.75), accuracy: int = 10000,
               scene=SCENE) -> DataFrame:
+    cell = indices.known(F.col(value).cast("double")).cast(px.schema[value].dataType)
     return px.groupBy(*scene).agg(*[
-        F.percentile_approx(value, q, accuracy).alias(f"p{round(q * 100)}") for q in shares
+        F.percentile_approx(cell, q, accuracy).alias(f"p{round(q * 100)}") for q in shares
     ])
 
 

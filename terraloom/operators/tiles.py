@@ -9,23 +9,41 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType
+
+from terraloom.functions.indices import known
 
 
 def to_pixels(tiles: DataFrame, bands, size: int) -> DataFrame:
-    """One row per cell.  No shuffle: arrays of one row are walked together."""
+    """One row per cell.  No shuffle: arrays of one row are walked together.
+
+    A tile without a band, or with a shorter one, has null for its cells.
+    """
     keys = [k for k in tiles.columns if k not in (*bands, "tx", "ty", "w", "h")]
-    cells = tiles.select(
+    held = [F.coalesce(F.col(b), F.array().cast(tiles.schema[b].dataType)).alias(b) for b in bands]
+    cells = tiles.select(*keys, "tx", "ty", "w", *held).select(
         *keys, "tx", "ty", "w", F.posexplode(F.arrays_zip(*bands)).alias("_i", "_cell")
     )
     return cells.select(
         *keys,
         (F.col("tx") * size + F.col("_i") % F.col("w")).cast("int").alias("x"),
         (F.col("ty") * size + F.floor(F.col("_i") / F.col("w"))).cast("int").alias("y"),
-        *[F.col(f"_cell.{b}").alias(b) for b in bands],
+        *[missing_is_null(F.col(f"_cell.{b}"), tiles.schema[b].dataType).alias(b) for b in bands],
     )
 
 
+def missing_is_null(value: Column, of: DataType) -> Column:
+    """A missing cell is NaN in arrays and null in pixel rows."""
+    kind = of.elementType if isinstance(of, ArrayType) else of
+    return known(value) if isinstance(kind, (FloatType, DoubleType)) else value
+
+
+def without_nan(px: DataFrame, bands) -> DataFrame:
+    """Pixel rows in which missing cells of ``bands`` are null."""
+    return px.withColumns({b: missing_is_null(F.col(b), px.schema[b].dataType) for b in bands})
+
+
 def from_pixels(px: DataFrame, bands, size: int = 256, scene: str = "scene") -> DataFrame:
     """Dense square tiles; absent cells are NaN.
 
@@ -48,7 +66,7 @@ def from_pixels(px: DataFrame, bands, size: int = 256, scene: str = "scene") ->
         columns = [pa.array([name], pa.string()), *[pa.array([v], pa.int32()) for v in (tx, ty, size, size)]]
         for b in bands:
             data = np.full(size * size, np.nan, dtype=np.float32)
-            data[spot] = cells[b].to_numpy()
+            data[spot] = cells[b].to_numpy()  # null becomes NaN
             columns.append(pa.ListArray.from_arrays(pa.array([0, data.size], pa.int32()), pa.array(data)))
         return pa.table(columns, schema=result)
 
@@ -73,6 +91,7 @@ def wide(long: DataFrame, bands, keys=("scene", "tx", "ty", "w", "h")) -> DataFr
 
 
 def mosaic(px: DataFrame, bands, rule: str = "max", keys=("scene", "x", "y")) -> DataFrame:
-    """One row per cell where surveys overlap: ``max``, ``min`` or ``avg``."""
+    """One row per cell where surveys overlap: ``max``, ``min`` or ``avg`` of those that have it."""
     pick = {"max": F.max, "min": F.min, "avg": F.avg}[rule]
-    return px.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[pick(b).alias(b) for b in bands])
+    return px.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), *[pick(missing_is_null(F.col(b), px.schema[b].dataType)).alias(b) for b in bands])

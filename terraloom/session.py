@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 
@@ -43,10 +44,14 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     Falls back to a fresh temporary folder, and stores that choice in the
-    session, only where nothing is set (local tests).
+    session, only in local mode, where driver and tasks share a machine; on a
+    cluster a missing setting is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local($|\[)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from terraloom.functions.indices import known
 from terraloom.functions import files, tiff
 
 HEADER = (
@@ -189,7 +190,8 @@ def to_pixels(blocks_df: DataFrame, bands) -> DataFrame:
     Narrow: every block carries all bands of its cells.
     """
     ok = blocks_df.filter(F.col("error").isNull())
-    planes = [F.get("planes", F.lit(n)).alias(b) for n, b in enumerate(bands)]
+    none = F.array().cast("array<float>")
+    planes = [F.coalesce(F.get("planes", F.lit(n)), none).alias(b) for n, b in enumerate(bands)]
     cells = ok.select("scene", "x0", "y0", "w", *planes).select(
         "scene", "x0", "y0", "w", F.posexplode(F.arrays_zip(*bands)).alias("_i", "_cell")
     )
@@ -197,7 +199,7 @@ def to_pixels(blocks_df: DataFrame, bands) -> DataFrame:
         "scene",
         (F.col("x0") + F.col("_i") % F.col("w")).cast("int").alias("x"),
         (F.col("y0") + F.floor(F.col("_i") / F.col("w"))).cast("int").alias("y"),
-        *[F.col(f"_cell.{b}").alias(b) for b in bands],
+        *[known(F.col(f"_cell.{b}")).alias(b) for b in bands],
     )
 
 

@@ -1,6 +1,6 @@
 """Registered queries with their oracle SQL, over the driver's tables."""
 
-from terraloom.suite import catalog, files, grids, neighbours, reports
+from terraloom.suite import catalog, files, gaps, grids, neighbours, reports
 from terraloom.suite.registry import ORACLES, QUERIES
 
 

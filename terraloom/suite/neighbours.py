@@ -150,7 +150,7 @@ def tiled(px, band, size=32):
 
 def back(long, size, name):
     wide = long.select("scene", "tx", "ty", F.lit(size).alias("w"), F.lit(size).alias("h"), c("data").alias(name))
-    return tiles.to_pixels(wide, [name], size).filter(~F.isnan(name))
+    return tiles.to_pixels(wide, [name], size).filter(c(name).isNotNull())
 
 
 @query("z05_clean_classes_tiles", class_closing_sql(2) + "SELECT x, y, cleaned FROM cleaned")

@@ -47,7 +47,8 @@ def test_lookup_with_and_without_broadcast(spark, monkeypatch, plan_of, bound):
 
 def test_hot_keys_are_few(spark):
     df = spark.range(10_000).select((F.col("id") % 5000).alias("k"))
-    assert joins.hot_keys(df, ["k"], min_rows=1).count() == 0
+    assert joins.hot_keys(df, ["k"], min_rows=3).count() == 0
+    assert 1 / joins.HOT_SHARE <= joins.BROADCAST_ROWS
 
 
 def test_row_numbers(spark):
