@@ -23,6 +23,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from terraloom.llm.common import bytes_of, listed
@@ -178,7 +179,22 @@ def _ddl(schema: pa.Schema) -> str:
 
 def _entry(length: int) -> np.dtype:
     width = -(-(2 * length - GRAM) // 8) * 8
-    return np.dtype([("gram", "<u8"), ("doc", "<i8"), ("at", "<i8"), ("left", "u1"), ("right", "u1"), ("text", "u1", (width,))])
+    return np.dtype([("doc", "<i8"), ("at", "<i8"), ("left", "u1"), ("right", "u1"), ("text", "u1", (width,))])
+
+
+def _squeezed(rows: np.ndarray) -> bytes:
+    """Rows column by column, compressed: contexts are text."""
+    return zstandard.compress(b"".join(np.ascontiguousarray(rows[name]).tobytes() for name in rows.dtype.names), 3)
+
+
+def _unsqueezed(body: bytes, kind: np.dtype) -> np.ndarray:
+    body = zstandard.decompress(body)
+    rows, at = np.empty(len(body) // kind.itemsize, kind), 0
+    for name in kind.names:
+        size = kind[name].itemsize * len(rows)
+        rows[name] = np.frombuffer(body[at: at + size], kind[name].base).reshape(rows[name].shape)
+        at += size
+    return rows
 
 
 def _chunk(table: pa.Table, doc_id: str, text: str) -> Chunk:
@@ -264,15 +280,15 @@ def _describe(doc_id: str, text_name: str, length: int, buckets: int):
         rows = []
         cold = first[~very[first]]
         body = np.zeros(len(cold), _entry(length))
-        for name, value in (("gram", gram), ("at", place), ("left", left), ("right", right), ("text", text)):
+        for name, value in (("at", place), ("left", left), ("right", right), ("text", text)):
             body[name] = value[cold]
         body["doc"] = chunk.ids[row[cold]]
-        rows += [(b, number, False, body[i].tobytes()) for b, i in _dealt(gram[cold], buckets)]
+        rows += [(b, number, False, _squeezed(body[i])) for b, i in _dealt(gram[cold], buckets)]
         warm = first[very[first]]
         strings = [_strings(text[warm], left[warm], right[warm], gram[warm], chunk.ids[row[warm]], place[warm], k, length) for k in range(length - GRAM + 1)] if len(warm) else []
         if strings:
             body = np.concatenate(strings)
-            rows += [(b, number, True, body[i].tobytes()) for b, i in _dealt(body["a"], buckets)]
+            rows += [(b, number, True, _squeezed(body[i])) for b, i in _dealt(body["a"], buckets)]
         return _packed(rows, ENTRIES)
 
     return run
@@ -313,8 +329,10 @@ def _decide(length: int):
 
     def cold(e: np.ndarray) -> np.ndarray:
         mask, n = np.zeros(len(e), np.uint64), len(e)
-        parse, parse_common = _ranked(e["gram"], e["text"][:, reach: reach + length])
-        phrase, phrase_common = _ranked(e["gram"], e["text"][:, :reach][:, ::-1])
+        parse, parse_common = _ranked(np.zeros(n, np.int64), e["text"][:, reach: reach + length])
+        gram = np.empty(n, np.int64)
+        gram[parse] = np.cumsum(parse_common < GRAM)
+        phrase, phrase_common = _ranked(gram, e["text"][:, :reach][:, ::-1])
         for k in range(reach + 1):
             before, after = np.empty(n, np.int64), np.empty(n, np.int64)
             before[phrase] = np.cumsum(phrase_common < k)
@@ -339,7 +357,7 @@ def _decide(length: int):
             mine = np.flatnonzero(flags == hot)
             if not len(mine):
                 continue
-            parts = [np.frombuffer(bodies[i], kind) for i in mine]
+            parts = [_unsqueezed(bodies[i], kind) for i in mine]
             chunk = np.repeat(chunks[mine], [len(p) for p in parts])
             e = np.concatenate(parts)
             if hot:
