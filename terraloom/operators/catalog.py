@@ -46,9 +46,13 @@ def parse_href(df: DataFrame, bucket: str | Column, region: str | Column, col: s
 
 
 def parsed(docs: DataFrame, schema: str) -> DataFrame:
-    """``(key, doc)`` of the documents that are JSON objects."""
+    """``(key, doc)`` of the documents that are JSON objects.
+
+    The explode of one element keeps the optimizer from copying the parser into
+    the filter and every use: each document is parsed once.
+    """
     doc = F.from_json("text", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
-    return docs.select("key", doc.alias("doc")).filter(
+    return docs.select("key", F.explode(F.array(doc)).alias("doc")).filter(
         F.col("doc").isNotNull() & F.col(f"doc.{BROKEN}").isNull()
     )
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
 from terraloom.functions import files, href as hrefs
+from terraloom.session import shared_folder
 from terraloom.sources.rasters import _tasks
 
 STATUS = "path string, target string, status string, bytes bigint, seconds double, error string"
@@ -35,23 +37,33 @@ def copy(planned: DataFrame, tasks: int | None = None) -> DataFrame:
 
     Bytes stream through the tasks in chunks.  Each file is written under a
     temporary name and moved into place, so a lost or repeated task leaves a
-    whole file or none.  The frame does its work when an action runs.
+    whole file or none.  The copying happens once, here; what comes back is
+    the written table of what each file's task reported.  A file that a task
+    of this run put in place before it was lost counts as copied.
     """
+    began = time.time()
 
     def move(row):
         if not row.first:
             return "skipped", None
         fs, inner = files.filesystem(row.target)
-        if fs.get_file_info(inner).type != pafs.FileType.NotFound:
-            return "skipped", None
+        there = fs.get_file_info(inner)
+        if there.type != pafs.FileType.NotFound:
+            mine = there.mtime is not None and there.mtime.timestamp() >= began and there.size == row.length
+            return ("copied", there.size) if mine else ("skipped", None)
         fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
         part = f"{inner}.{time.time_ns()}.part"
         done = 0
-        with files.open_file(row.path) as source, fs.open_output_stream(part) as sink:
-            while data := source.read(CHUNK):
-                sink.write(data)
-                done += len(data)
-        fs.move(part, inner)
+        try:
+            with files.open_file(row.path) as source, fs.open_output_stream(part) as sink:
+                while data := source.read(CHUNK):
+                    sink.write(data)
+                    done += len(data)
+            fs.move(part, inner)
+        except Exception:
+            if fs.get_file_info(part).type != pafs.FileType.NotFound:
+                fs.delete_file(part)
+            raise
         return "copied", done
 
     def run(batches):
@@ -69,7 +81,10 @@ def copy(planned: DataFrame, tasks: int | None = None) -> DataFrame:
             out["bytes"] = out["bytes"].astype("Int64")
             yield out
 
-    return planned.repartition(tasks or _tasks(planned), "path").mapInPandas(run, STATUS)
+    spark = planned.sparkSession
+    told = f"{shared_folder(spark)}/copied-{uuid.uuid4().hex}"
+    planned.repartition(tasks or _tasks(planned), "path").mapInPandas(run, STATUS).write.parquet(told)
+    return spark.read.parquet(told)
 
 
 def summary(status: DataFrame, size_mb: str = "size_mb", seconds: str | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.functions import href as hrefs
+from terraloom.functions import files, href as hrefs
 from terraloom.operators.joins import lookup
 
 # Extensions that count as raster files.
@@ -19,8 +19,8 @@ TIFF_MAGIC = ("49492A00", "4D4D002A")
 
 def scan(spark: SparkSession, prefix: str) -> DataFrame:
     """Every object under a prefix: ``path, modificationTime, length`` (no content read)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(prefix)
-    return files.select("path", "modificationTime", "length")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(prefix)
+    return found.select("path", "modificationTime", "length")
 
 
 def pick(listing: DataFrame, suffix: str = "", suffixes=(), limit: int = 0,
@@ -62,13 +62,24 @@ def pending(wanted: DataFrame, manifest: DataFrame, on: str = "key") -> DataFram
 
 
 def headers(spark: SparkSession, prefix: str, length: int = 16) -> DataFrame:
-    """First bytes of each file as hex, with the TIFF test.
+    """First bytes of each file as hex, with the TIFF test; only these bytes are read.
 
-    Reads through ``binaryFile``; for large rasters use ``sources.headers``,
-    which reads only the header.
+    A file that cannot be opened has a null ``head``.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(prefix)
-    return files.select("path", "length", F.hex(F.substring("content", 1, length)).alias("head")).withColumn(
+
+    def read(batches):
+        for pdf in batches:
+            head = []
+            for path in pdf.path:
+                try:
+                    with files.open_file(path) as file:
+                        head.append(file.read(length).hex().upper())
+                except OSError:
+                    head.append(None)
+            yield pdf.assign(head=head)
+
+    found = scan(spark, prefix).select("path", "length").mapInPandas(read, "path string, length long, head string")
+    return found.withColumn(
         "is_tiff", F.substring("head", 1, 8).isin(*TIFF_MAGIC)
     )
 

@@ -159,6 +159,10 @@ def _file_blocks(path, group):
 def _block(path, r, file):
     # Tiles are stored whole; the last strip may be shorter.
     rows = r.block_y if r.tiled == "YES" else min(r.block_y, r.height - r.y0)
+    if r.offset == 0 or r.size == 0:  # a sparse block: nothing stored, all cells missing
+        h, w = min(rows, r.height - r.y0), min(r.block_x, r.width - r.x0)
+        return {"scene": path, "block": r.block, "first_band": r.first_band, "x0": r.x0, "y0": r.y0, "w": w, "h": h,
+                "planes": [np.full(h * w, np.nan, np.float32)] * int(r.planes), "error": None}
     file.seek(r.offset)
     data = tiff.decode(file.read(r.size), r.dtype, r.byte_order, r.compression, r.predictor,
                        rows, r.block_x, r.planes)
@@ -184,12 +188,26 @@ def _batch(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=BLOCK_ARROW)
 
 
-def to_pixels(blocks_df: DataFrame, bands) -> DataFrame:
+def failed(blocks_df: DataFrame) -> DataFrame:
+    """Blocks that could not be decoded, with the reason."""
+    return blocks_df.filter(F.col("error").isNotNull()).select("scene", "block", "first_band", "x0", "y0", "error")
+
+
+def _decoded(blocks_df: DataFrame, skip_failed: bool) -> DataFrame:
+    """Blocks with their cells; one that failed ends the job unless it may be left out."""
+    if skip_failed:
+        return blocks_df.filter(F.col("error").isNull())
+    told = F.raise_error(F.concat(F.lit("block "), "block", F.lit(" of "), "scene", F.lit(": "), "error"))
+    return blocks_df.withColumn("planes", F.when(F.col("error").isNull(), F.col("planes")).otherwise(told))
+
+
+def to_pixels(blocks_df: DataFrame, bands, skip_failed: bool = False) -> DataFrame:
     """Pixel rows of pixel-interleaved blocks: band ``n`` becomes column ``bands[n]``.
 
-    Narrow: every block carries all bands of its cells.
+    Narrow: every block carries all bands of its cells.  A failed block raises
+    an error, or with ``skip_failed`` its cells are absent (see ``failed``).
     """
-    ok = blocks_df.filter(F.col("error").isNull())
+    ok = _decoded(blocks_df, skip_failed)
     none = F.array().cast("array<float>")
     planes = [F.coalesce(F.get("planes", F.lit(n)), none).alias(b) for n, b in enumerate(bands)]
     cells = ok.select("scene", "x0", "y0", "w", *planes).select(
@@ -203,8 +221,8 @@ def to_pixels(blocks_df: DataFrame, bands) -> DataFrame:
     )
 
 
-def to_long(blocks_df: DataFrame) -> DataFrame:
-    """Long rows ``(scene, band, x0, y0, w, h, data)`` for either interleave."""
-    return blocks_df.filter(F.col("error").isNull()).select(
+def to_long(blocks_df: DataFrame, skip_failed: bool = False) -> DataFrame:
+    """Long rows ``(scene, band, x0, y0, w, h, data)`` for either interleave; failed blocks as in ``to_pixels``."""
+    return _decoded(blocks_df, skip_failed).select(
         "scene", "x0", "y0", "w", "h", "first_band", F.posexplode("planes").alias("_i", "data")
     ).select("scene", (F.col("first_band") + F.col("_i")).alias("band"), "x0", "y0", "w", "h", "data")

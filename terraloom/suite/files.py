@@ -90,12 +90,14 @@ def page_files(spark, sf):
     """Each page as a file; the body is its html."""
     root = folder(spark)
     pages = fx.table(spark, sf, "pages").select("page_id", c("html").cast("binary").alias("body"))
-    keyed = fx.keys(spark, sf).filter(c("key") != "catalog.json").select("page_id", "key").join(pages, "page_id")
+    own = F.when(c("key") == "catalog.json", F.concat(F.lit("c"), "page_id", F.lit("/"), "key")).otherwise(c("key"))
+    keyed = fx.keys(spark, sf).select("page_id", own.alias("key")).join(pages, "page_id")
     put(keyed, root)
     return root
 
 
-FILES = fx.with_sql(fx.KEYS_SQL + ", files AS (SELECT key, CAST(octet_length(encode(html)) AS BIGINT) AS length FROM keys JOIN pages USING (page_id) WHERE key <> 'catalog.json')")
+FILES = fx.with_sql(fx.KEYS_SQL + """, files AS (SELECT CASE WHEN key = 'catalog.json' THEN 'c' || page_id || '/catalog.json' ELSE key END AS key,
+    CAST(octet_length(encode(html)) AS BIGINT) AS length FROM keys JOIN pages USING (page_id))""")
 
 
 @query("s03_list_objects", FILES + "SELECT key, length FROM files WHERE key LIKE '%.tiff'")
@@ -111,11 +113,11 @@ def list_limit(spark, sf):
     return listing.objects(spark, root, suffix=".jpg", limit=7).select(relative(c("path"), root).alias("key"))
 
 
-@query("s04_folder_prefix", K + "SELECT page_id, string_split(key, '/')[1] || '/' AS prefix FROM keys WHERE key <> 'catalog.json'")
+@query("s04_folder_prefix", K + "SELECT page_id, string_split(key, '/')[1] || '/' AS prefix FROM keys")
 def folder_prefix(spark, sf):
     first = F.substring_index("key", "/", 1)
     mixed = F.when(c("page_id") % 2 == 0, first).otherwise(F.concat(first, F.lit("/")))
-    return fx.keys(spark, sf).filter(c("key") != "catalog.json").select("page_id", hrefs.as_folder(mixed).alias("prefix"))
+    return fx.keys(spark, sf).select("page_id", hrefs.as_folder(mixed).alias("prefix"))
 
 
 @query("s05_root_json", K + "SELECT page_id, key FROM keys WHERE key NOT LIKE '%/%' AND lower(key) LIKE '%.json'")
