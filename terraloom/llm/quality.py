@@ -150,14 +150,14 @@ def certified(judged: DataFrame, stratum: str, allowed: float, delta: float, lad
              F.sum(F.when(F.col("hit"), F.col("_good")).otherwise(0)).alias("n_lost"),
              F.sum(F.when(F.col("hit"), 1 - F.col("_good")).otherwise(0)).alias("n_caught"))
     )
-    strata = tried.agg(F.countDistinct(F.struct("_stratum")).alias("_strata"))
-    level = F.lit(delta / len(ladders)) / F.col("_strata")
+    strata = tried.agg(F.countDistinct(F.struct("_stratum")).alias("_strata")).scalar()
+    level = F.lit(delta / len(ladders)) / strata
     ladder = Window.partitionBy("_stratum", "rule").orderBy("step")  # at most one row per cutoff
     best = Window.partitionBy("_stratum", "rule").orderBy(F.desc("_gain"), "step")
     limits = (
-        tried.select("_stratum", "n_good").distinct().crossJoin(strata)  # a single row
-        .withColumn("_most", most_failures(F.col("n_good"), allowed / len(ladders), level))
-        .drop("_strata", "n_good")
+        tried.select("_stratum", "n_good").distinct().withColumn("_level", level)
+        .withColumn("_most", most_failures(F.col("n_good"), allowed / len(ladders), F.col("_level")))
+        .drop("_level", "n_good")
     )
     return (
         tried.join(limits, tried["_stratum"].eqNullSafe(limits["_stratum"])).drop(limits["_stratum"])
