@@ -42,7 +42,7 @@ def _directory(file, order: str, big: bool, at: int) -> tuple[dict, int]:
     (count,) = struct.unpack(order + ("Q" if big else "H"), _read(file, at, head))
     file.seek(0, 2)
     if at + head + count * entry > file.tell():
-        raise ValueError("directory runs past the end of the file")
+        raise ValueError("file ends early: directory too long")
     body = _read(file, at + head, count * entry + struct.calcsize(word))
     tags = {}
     for i in range(count):
