@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from terraloom.functions import indices
 
 SCENE = ("scene",)
+PRIME = (1 << 31) - 1
 
 
 def _summary(value: Column) -> list[Column]:
@@ -83,8 +84,18 @@ def quantiles(px: DataFrame, value: str, shares=(0.25, 0.5, 0.75), accuracy: int
 
 
 def fingerprint(px: DataFrame, bands, scene=SCENE) -> DataFrame:
-    """Order-free checksum per scene and band."""
+    """Order-free checksum per scene and band, to 1/1024 of a unit.
+
+    Each cell is mixed with its place modulo a prime in whole numbers and the
+    results are added, so equal rows do not cancel and any engine can repeat it.
+    """
+    def mixed(b):
+        value = F.coalesce(F.floor(indices.known(F.col(b).cast("double")) * 1024 + 0.5), F.lit(-7)).cast("long")
+        place = F.pmod(F.pmod(F.col("x").cast("long") * 31 + F.col("y").cast("long"), F.lit(PRIME)) * 48271, F.lit(PRIME))
+        both = F.pmod((place + F.pmod(value, F.lit(PRIME))) * 69621, F.lit(PRIME))
+        return F.pmod(both * both, F.lit(PRIME))
+
     return _by_band(px, bands, scene, lambda b: [
-        F.bit_xor(F.xxhash64("x", "y", F.col(b).cast("double"))).alias("checksum"),
+        F.pmod(F.sum(mixed(b).cast("decimal(20,0)")), F.lit((1 << 61) - 1).cast("decimal(20,0)")).cast("long").alias("checksum"),
         F.count(F.lit(1)).alias("cells"),
     ])

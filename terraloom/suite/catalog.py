@@ -297,7 +297,13 @@ def item_polygon(spark, sf):
     return fx.items(spark, sf).select("item_id", geometry.wkt(c("minx"), c("miny"), c("maxx"), c("maxy")).alias("wkt"))
 
 
-@query("g02_item_wkb")
+# A whole number v >= 1 as eight little-endian bytes of a double: exponent and mantissa.
+DOUBLE_SQL = """hexed AS (SELECT item_id, list_transform([maxx, miny, maxx, maxy, minx, maxy, minx, miny, maxx, miny], lambda v:
+    printf('%016X', ((1023 + FLOOR(LOG2(v))::BIGINT) << 52) | ((v::BIGINT - (1::BIGINT << FLOOR(LOG2(v))::INT)) << (52 - FLOOR(LOG2(v))::INT)))) AS h FROM items)"""
+
+
+@query("g02_item_wkb", fx.with_sql(fx.ITEMS_SQL, DOUBLE_SQL) + """SELECT item_id, CASE WHEN h[1] IS NOT NULL THEN '01030000000100000005000000' ||
+    array_to_string(list_transform(h, lambda w: array_to_string(list_transform(range(7, -1, -1), lambda k: substr(w, (2 * k + 1)::INT, 2)), '')), '') END AS wkb FROM hexed""")
 def item_wkb(spark, sf):
     return fx.items(spark, sf).select(
         "item_id", F.hex(geometry.box_wkb("minx", "miny", "maxx", "maxy")).alias("wkb"))

@@ -293,7 +293,14 @@ def histogram(spark, sf):
     return stats.histogram(fx.scene(spark, sf), "green")
 
 
-@query("a16_fingerprint")
+def mixed_sql(band):
+    place = "((x::BIGINT * 31 + y) % 2147483647 * 48271 % 2147483647)"
+    both = f"(({place} + CAST(FLOOR({band} * 1024 + 0.5) AS BIGINT) % 2147483647) * 69621 % 2147483647)"
+    return f"CAST(SUM(CAST({both} * {both} % 2147483647 AS HUGEINT)) % 2305843009213693951 AS BIGINT)"
+
+
+@query("a16_fingerprint", S + " UNION ALL ".join(
+    f"SELECT 'a' AS scene, '{b}' AS band, {mixed_sql(b)} AS checksum, COUNT(*) AS cells FROM scene" for b in FOUR))
 def fingerprint(spark, sf):
     return stats.fingerprint(fx.scene(spark, sf), FOUR)
 

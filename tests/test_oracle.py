@@ -8,8 +8,7 @@ from terraloom.suite import all_oracles, all_queries
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = dict(all_queries()), dict(all_oracles())
-# Run in full elsewhere in the tests, or have no SQL form.
-ROWS_ONLY = {"a16_fingerprint", "g02_item_wkb"}
+ROWS_ONLY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
