@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from terraloom.functions import indices
 
@@ -29,6 +32,49 @@ def bands(px: DataFrame, bands, scene=SCENE) -> DataFrame:
     return _by_band(px, bands, scene, lambda b: _summary(indices.known(F.col(b).cast("double"))))
 
 
+def _tile_part(data: Column) -> Column:
+    """Count, extremes, mean and squared deviations of the cells of one array."""
+    kind = StructType([StructField("n", LongType()), *[StructField(k, DoubleType()) for k in ("low", "high", "mean", "m2")]])
+
+    @F.arrow_udf(kind)
+    def run(column: pa.Array) -> pa.Array:
+        ends = column.offsets.to_numpy()
+        rows = np.repeat(np.arange(len(column)), np.diff(ends))
+        cells = column.values.to_numpy(zero_copy_only=False)[ends[0]:ends[-1]].astype(np.float64)
+        held = ~np.isnan(cells)
+        rows, cells = rows[held], cells[held]
+        n = np.bincount(rows, minlength=len(column))
+        low, high = np.full(len(column), np.inf), np.full(len(column), -np.inf)
+        heads = np.flatnonzero(np.diff(rows, prepend=-1))
+        if len(cells):
+            low[rows[heads]], high[rows[heads]] = np.minimum.reduceat(cells, heads), np.maximum.reduceat(cells, heads)
+        mean = np.bincount(rows, cells, len(column)) / np.maximum(n, 1)
+        m2 = np.bincount(rows, (cells - mean[rows]) ** 2, len(column))
+        empty = n == 0
+        parts = [pa.array(n), *[pa.array(v, mask=empty) for v in (low, high, mean, m2)]]
+        return pa.StructArray.from_arrays(parts, ["n", "low", "high", "mean", "m2"])
+
+    return run(data)
+
+
+def bands_of_tiles(tiles: DataFrame, bands, scene=SCENE) -> DataFrame:
+    """``bands`` on tile rows: one partial result per array, so no cell is a row.
+
+    NaN cells and missing bands are left out; deviations of tiles are merged by their means.
+    """
+    empty = F.array().cast("array<float>")
+    parts = tiles.select(*scene, *[_tile_part(F.coalesce(F.col(b).cast("array<float>"), empty)).alias(b) for b in bands])
+
+    def merged(b: str) -> list[Column]:
+        n, mean, m2 = (F.col(f"{b}.{k}") for k in ("n", "mean", "m2"))
+        count, total = F.sum(n), F.sum(n * mean)
+        spread = (F.sum(m2) + F.sum(n * mean * mean) - total * total / count) / count
+        return [count.alias("cells"), F.min(f"{b}.low").alias("min"), F.max(f"{b}.high").alias("max"),
+                (total / count).alias("mean"), F.sqrt(F.greatest(spread, F.lit(0.0))).alias("std")]
+
+    return _by_band(parts, bands, scene, merged)
+
+
 def whole(px: DataFrame, bands) -> DataFrame:
     """The same over all bands and scenes together."""
     values = F.array(*[indices.known(F.col(b).cast("double")) for b in bands])

@@ -164,6 +164,13 @@ def window(spark, sf):
     return spatial.clip(fx.scene(spark, sf), WINDOW, LEFT, TOP, RES).select("x", "y", "red")
 
 
+@query("w07_window_tiles", S + f"""SELECT x, y, red FROM scene
+WHERE {LEFT} + (x + 0.5) * {RES} BETWEEN {WINDOW[0]} AND {WINDOW[2]}
+  AND {TOP} - (y + 0.5) * {RES} BETWEEN {WINDOW[1]} AND {WINDOW[3]}""")
+def window_tiles(spark, sf):
+    return spatial.clip_tiles(fx.tiles(spark, sf), ["red"], fx.SIZE, WINDOW, LEFT, TOP, RES).select("x", "y", "red")
+
+
 @query("w08_crop_to_imagery", S + f""", b AS (SELECT MIN(x) AS x0, MAX(x) AS x1, MIN(y) AS y0, MAX(y) AS y1
     FROM scene WHERE {NDVI} > 0.9)
 SELECT x, y, dsm FROM scene, b WHERE x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1""")
@@ -223,6 +230,11 @@ def band_stats(spark, sf):
     return rounded(stats.bands(fx.scene(spark, sf), FOUR).drop("scene"), "mean", "std")
 
 
+@query("a07_band_stats_tiles", S + band_stats_sql("scene", FOUR))
+def band_stats_tiles(spark, sf):
+    return rounded(stats.bands_of_tiles(fx.tiles(spark, sf), FOUR).drop("scene"), "mean", "std")
+
+
 @query("a07_raster_stats", S + f"""SELECT COUNT(v) AS cells, MIN(v) AS min, MAX(v) AS max, ROUND(AVG(v), 6) AS mean,
     ROUND(STDDEV_POP(v), 6) AS std FROM ({' UNION ALL '.join(f'SELECT {b} AS v FROM scene' for b in FOUR)})""")
 def raster_stats(spark, sf):

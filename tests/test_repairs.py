@@ -117,3 +117,20 @@ def test_shared_folder_must_be_set_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_tile_window_reaches_the_scan(spark, plan_of):
+    root = folder()
+    spark.createDataFrame([("s", t % 4, t // 4, 2, 2, [float(t)] * 4) for t in range(16)], "scene string, tx int, ty int, w int, h int, v array<float>").write.parquet(root + "/t")
+    df = spatial.clip_tiles(spark.read.parquet(root + "/t"), ["v"], 2, (3.0, 2.0, 6.0, 5.0))
+    assert "GreaterThanOrEqual(tx,1)" in plan_of(df) and "LessThanOrEqual(ty,2)" in plan_of(df)
+    assert sorted((r.x, r.y) for r in df.collect()) == [(x, y) for x in (3, 4, 5) for y in (2, 3, 4)]
+
+
+def test_format_summary_reads_its_source_once(spark, plan_of):
+    from terraloom.operators import inventory
+
+    root = folder()
+    spark.createDataFrame([("GTiff", "LZW", "YES", True, True, 1.0)], "driver string, compression string, tiled string, is_cog_b boolean, has_overviews boolean, size_mb double").write.parquet(root + "/h")
+    df = inventory.report(spark.read.parquet(root + "/h"))
+    assert plan_of(df).count("Scan parquet") == 2 and df.count() == 3  # in the tree and in its listing
