@@ -15,8 +15,10 @@ that most pieces share is never sorted or gathered.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
+import struct
 import zlib
 from itertools import combinations_with_replacement
 
@@ -29,21 +31,34 @@ from pyspark.sql import DataFrame, Window, functions as F
 from terraloom.llm.common import saved
 
 WINDOW, UNIT, END_ID = 4096, 64, 2
-#: Words a task remembers the ids of.
-REMEMBERED = 300_000
+#: Words of a generation that a task remembers the ids of.
+REMEMBERED = 200_000
 
 _ASCII_BLANKS = re.compile("[ \t\n\r\x0b\x0c]+")
-_encoders: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """Token ids of texts, word by word: the tokenizer drops white space and never joins across it."""
+    """Token ids of texts, word by word: the tokenizer drops white space and never joins across it.
+
+    Words met lately are remembered in two generations, so that frequent ones
+    stay and memory is bounded.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
+        self.model = self.tokenizer.model
+        # Byte-level vocabularies spell a byte as a printable character: 128 to 160 and 173 come after 288.
+        spelt = {b: chr(b) for b in range(161, 256) if b != 173}
+        spelt |= {b: chr(289 + i) for i, b in enumerate([*range(127, 161), 173])}
+        self.letters = {c: "".join(spelt[b] for b in chr(c).encode()) for c in range(170, 256)}
+        self.marks = {c: self._packed(self.tokenizer.encode(c, add_special_tokens=False).ids) if c else b"" for c in ("", *".,!?;:")}
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -52,22 +67,40 @@ class Encoder:
             return [w for w in _ASCII_BLANKS.split(text) if w]
         return text.split()
 
+    def _learn(self, words: set[str]) -> None:
+        """Ids of new words.  Letters of western scripts, with one mark after them or none, are a
+        piece (or two) for the model as they are; all others go through the whole tokenizer."""
+        rest, known, older = [], self.known, self.older
+        for word in words:
+            ids = older.get(word)
+            if ids is None and max(word) <= "\xff":
+                low = word.lower()
+                base, mark = (low[:-1], low[-1]) if low[-1] in ".,!?;:" else (low, "")
+                if base.isalpha():
+                    ids = self._packed([t.id for t in self.model.tokenize(base.translate(self.letters))]) + self.marks[mark]
+            if ids is None:
+                rest.append(word)
+            else:
+                known[word] = ids
+        for word, got in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+            known[word] = self._packed(got.ids)
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         split = [self.words(t) for t in texts]
-        new = set().union(*split) - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = set().union(*split)
-        new = list(new)
-        for at in range(0, len(new), 20_000):
-            some = new[at: at + 20_000]
-            for word, got in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.known[word] = np.array(got.ids, "<u4").tobytes()
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        self._learn(set().union(*split) - self.known.keys())
         find = self.known.__getitem__
         return [b"".join(map(find, words)) for words in split]
 
 
+@functools.lru_cache(maxsize=2)
+def encoder_for(path: str) -> Encoder:
+    """The encoder of this Python worker: later tasks find what earlier ones learnt."""
+    return Encoder(path)
+
+
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, _class int, _task int, _rank long, _tail binary"
 _PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
                     ("doc_tokens", pa.int64()), ("_class", pa.int32()), ("_task", pa.int32()), ("_rank", pa.int64()), ("_tail", pa.binary())])
@@ -78,7 +111,7 @@ def _tokenized(path: str, window: int, unit: int):
     those of its class in this task; for a tail the tokens of the tails before it."""
 
     def run(batches):
-        encoder = _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
+        encoder = encoder_for(path)
         task, counts = TaskContext.get().partitionId(), [0] * (window // unit + 1)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
