@@ -38,10 +38,9 @@ def _line(name: str, value: Column | str) -> Column:
 
 
 def staged(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """One numbered record per page with its payload and digests, written under ``folder``."""
-    payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
+    """One numbered record per page with its payload's digests but not the payload, written under ``folder``."""
     record = (
-        pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), payload.alias("payload"))
+        pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), _payload(html).alias("payload"))
         .withColumns({
             "record_no": F.monotonically_increasing_id(),
             "payload_bytes": F.octet_length("payload").cast("long"),
@@ -49,7 +48,11 @@ def staged(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "
             "payload_digest": base32_sha1(F.col("payload")),
         })
     )
-    return _table(record, f"{folder}/staged")
+    return _table(record.drop("payload"), f"{folder}/staged")
+
+
+def _payload(html: str) -> Column:
+    return F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
 
 
 def _table(df: DataFrame, path: str) -> DataFrame:
@@ -69,13 +72,12 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = "2024-0
     """
     records = staged(pages, folder, page_id, url, html)
     order = F.struct(F.col("page_id").isNull().alias("_null"), "page_id", "record_no")
-    # Counts before bytes: groups of copies shrink to one small row each before any payload moves.
     first = records.groupBy("content_key").agg(F.min(order).alias("_first"))
-    stored = first.select(F.col("_first.record_no").alias("record_no"))
-    payloads = records.join(stored, "record_no", "left_semi").select("content_key", "payload", "payload_bytes")
+    # Copies within a task become one row before any payload moves.
+    payloads = pages.select(_payload(html).alias("payload")).withColumn("content_key", F.sha2("payload", 256)).dropDuplicates(["content_key"])
     _table(payloads.filter(F.sha2("payload", 256) == F.col("content_key")), f"{folder}/payloads")
 
-    slim = records.drop("payload").join(first, "content_key")
+    slim = records.join(first, "content_key")
     revisit = (F.col("payload_bytes") >= min_bytes) & (F.col("record_no") != F.col("_first.record_no"))
 
     def urn(page: Column, number: Column) -> Column:

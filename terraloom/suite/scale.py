@@ -46,7 +46,7 @@ def jobs(pixels, wide):
         "r01_ndvi tiles, arrow": wide.select(tilemath.ndvi().alias("ndvi")),
         "r01_ndvi tiles, sql": wide.select(indices.over_arrays(indices.ndvi, c("nir"), c("red")).alias("ndvi")),
         "a07_band_stats pixels": stats.bands(pixels, ["red", "green", "blue", "nir"]),
-        "a07_band_stats tiles": stats.bands(tiles.to_pixels(wide, ["red", "green", "blue", "nir"], TILE), ["red", "green", "blue", "nir"]),
+        "a07_band_stats tiles": stats.bands_of_tiles(wide, ["red", "green", "blue", "nir"]),
         "z01_horn_slope pixels": focal.slope(pixels.select("scene", "x", "y", "dsm"), "dsm"),
         "z01_horn_slope tiles": halo.slope(long, TILE),
         "z07_halo_mean tiles": halo.mean3(long, TILE),
