@@ -16,7 +16,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from terraloom.llm.common import unit
+from terraloom.llm.common import saved, unit
+from terraloom.operators.joins import is_small
 
 BLOCK_TOKENS = 1 << 20
 
@@ -73,7 +74,7 @@ def repeats(tokens: list[int], max_repeats: float | None = None, target_entropy:
 def schedule(docs: DataFrame, source: str, doc_id: str, tokens: Column, max_repeats: float | None, target_entropy: float | None,
              budget: int | None, block_tokens: int) -> tuple[DataFrame, DataFrame]:
     """Documents with ``_source``, ``_tokens``, ``_block`` and ``_u``; and the blocks of every epoch:
-    _source, _block, _epoch, _place, _left (tokens this block may still use, null for all).
+    _source, _block, _epoch, _place, _upto (the last ``_u`` that the budget takes).
 
     One number per source meets on the driver.
     """
@@ -104,7 +105,25 @@ def schedule(docs: DataFrame, source: str, doc_id: str, tokens: Column, max_repe
         "_source", "_block", "_epoch",
         ((F.col("_epoch") * F.col("_whole") + F.col("_before")) / F.col("_budget")).alias("_place"),
         F.when(F.col("_room") < F.col("_size") * (1 - 1e-9), F.col("_room")).alias("_left"))
-    return placed, epochs
+    # Only the last block of a source is cut, at a point of its documents' hashed order.
+    inside = Window.partitionBy("_source", "_block", "_epoch").orderBy("_u").rowsBetween(Window.unboundedPreceding, -1)
+    ends = (
+        _meeting(placed.select("_source", "_block", "_u", "_tokens"), epochs.filter("_left IS NOT NULL"))
+        .withColumn("_used", F.coalesce(F.sum("_tokens").over(inside), F.lit(0))).filter("_used < _left")
+        .groupBy("_source", "_block", "_epoch").agg(F.max("_u").alias("_upto"))
+        .withColumnsRenamed({"_source": "_s", "_block": "_b", "_epoch": "_e"})
+    )
+    epochs = epochs.join(
+        ends, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")) & (F.col("_epoch") == F.col("_e")), "left")
+    return placed, saved(epochs.select(
+        "_source", "_block", "_epoch", "_place",
+        F.when(F.col("_left").isNull(), F.lit(1.0)).otherwise(F.coalesce("_upto", F.lit(-1.0))).alias("_upto")), "schedule")
+
+
+def _meeting(docs: DataFrame, epochs: DataFrame) -> DataFrame:
+    """Documents with the blocks of every epoch they are in."""
+    when = epochs.withColumnsRenamed({"_source": "_name", "_block": "_number"})
+    return docs.join(when, F.col("_source").eqNullSafe(F.col("_name")) & (F.col("_block") == F.col("_number"))).drop("_name", "_number")
 
 
 def mixed(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text", max_repeats: float | None = 1.25,
@@ -112,16 +131,12 @@ def mixed(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text:
     """Every document as often as its source's budget takes it, with ``_tokens``, ``_epoch``, ``_block`` and ``_place``.
 
     Sorted by ``_place`` (then ``_u``) the rows are the mixture.  A source may
-    end up to one document over its budget.  A null source is a source, null
+    end one document over its budget (or that document's copies).  A null source is a source, null
     texts have one token, null ids and repeated rows are documents of their
     own (rows of one id share a block), an empty table gives no rows.  Extra
     columns may have any name that does not begin with an underscore.
     """
     placed, epochs = schedule(docs, source, doc_id, token_count(text) if tokens is None else tokens, max_repeats, target_entropy, budget, block_tokens)
-    when = epochs.withColumnsRenamed({"_source": "_name", "_block": "_number"})
-    rows = placed.join(when, F.col("_source").eqNullSafe(F.col("_name")) & (F.col("_block") == F.col("_number")))
-    whole = rows.filter("_left IS NULL")
-    # Only the last block of a source is cut: by its documents in hashed order.
-    inside = Window.partitionBy("_source", "_block", "_epoch").orderBy("_u", F.col(f"`{doc_id}`")).rowsBetween(Window.unboundedPreceding, -1)
-    cut = rows.filter("_left IS NOT NULL").withColumn("_used", F.coalesce(F.sum("_tokens").over(inside), F.lit(0))).filter("_used < _left").drop("_used")
-    return whole.union(cut).drop("_name", "_number", "_left")
+    # One row per million tokens: texts stay where they are while a job proves that it fits a broadcast.
+    epochs = F.broadcast(epochs) if is_small(epochs) else epochs
+    return _meeting(placed, epochs).filter(F.col("_u") <= F.col("_upto")).drop("_upto")

@@ -142,7 +142,6 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 7 * both >= 3 * (len(a) + len(b))
 
 
-LEADERS = pa.schema([("doc", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("text", pa.string()), ("chunk", pa.int32())])
 COUNTS = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("low", pa.binary()), ("docs", pa.binary())])
 SHARED = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("low", pa.binary()), ("docs", pa.binary())])
 FOUND = pa.schema([("doc", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("body", pa.binary()),
@@ -193,10 +192,8 @@ def _sets(table: pa.Table, buckets: int, words: int):
 
 def _leaders(docs: pa.Table, leaders: pa.Table) -> pa.Table:
     """The rows of a chunk that lead their class of equal texts."""
-    lead = set(zip(*(listed(leaders, c) for c in ("lead", "l1", "l2"))))
+    lead = {x for x in zip(*(listed(leaders, c) for c in ("lead", "l1", "l2"))) if x[0] is not None}
     keep, seen = [], set()
-    if not docs.num_rows:
-        return LEADERS.empty_table()
     for i, row in enumerate(zip(*(docs.column(c).to_pylist() for c in ("doc", "k1", "k2")))):
         if row in lead and row not in seen:
             seen.add(row)
@@ -205,9 +202,11 @@ def _leaders(docs: pa.Table, leaders: pa.Table) -> pa.Table:
 
 
 def _propose(buckets: int, words: int):
-    def run(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table, leaders: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _packed([], COUNTS)
         number = table.column("chunk")[0].as_py()
-        _, _, signed = _sets(table, buckets, words)
+        _, _, signed = _sets(_leaders(table, leaders), buckets, words)
         each = [np.unique(np.concatenate([s for _, s in x])) for x in signed if x]
         keys, n = np.unique(np.concatenate(each), return_counts=True) if each else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         n = np.minimum(n, 255).astype(np.uint8)
@@ -237,10 +236,10 @@ def _choose(buckets: int, words: int):
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _packed([], FOUND)
-        table, sets, signed = _sets(table, buckets, words)
-        known = np.concatenate([np.zeros(0, np.uint64), *(
-            _from_five(x) | np.uint64(b << 40) for b, x in zip(listed(replies, "bucket"), listed(replies, "low")))])
-        docs = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x, np.uint8) for x in listed(replies, "docs"))])
+        table, sets, signed = _sets(_leaders(table, replies), buckets, words)
+        told = [x for x in zip(*(listed(replies, c) for c in ("bucket", "low", "docs"))) if x[0] is not None]
+        known = np.concatenate([np.zeros(0, np.uint64), *(_from_five(low) | np.uint64(b << 40) for b, low, _ in told)])
+        docs = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x, np.uint8) for _, _, x in told)])
         order = np.argsort(known)
         known, docs = known[order], docs[order]
         rows, found = [], []
@@ -429,10 +428,11 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     filled = F.coalesce("doc", nobody).alias("doc")
     leaders = classes.select(filled, F.col("k1").alias("l1"), F.col("k2").alias("l2")).select(F.col("doc").alias("lead"), "l1", "l2", chunk)
     texts = named.select(filled, "k1", "k2", "text").select("*", chunk)
-    lead = texts.groupBy("chunk").cogroup(leaders.groupBy("chunk")).applyInArrow(
-        _leaders, "doc long, k1 long, k2 long, text string, chunk int").groupBy("chunk")
-    shared = lead.applyInArrow(_propose(buckets, words), _ddl(COUNTS)).groupBy("bucket").applyInArrow(_meet, _ddl(SHARED))
-    found = saved(lead.cogroup(shared.groupBy("chunk")).applyInArrow(_choose(buckets, words), _ddl(FOUND)), "partenum")
+    # Texts are shuffled once: both passes group the same exchange.
+    by_chunk = texts.groupBy("chunk")
+    shared = by_chunk.cogroup(leaders.groupBy("chunk")).applyInArrow(_propose(buckets, words), _ddl(COUNTS)).groupBy("bucket").applyInArrow(_meet, _ddl(SHARED))
+    replies = leaders.unionByName(shared, allowMissingColumns=True)
+    found = saved(by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(_choose(buckets, words), _ddl(FOUND)), "partenum")
 
     sets = found.filter(F.col("body").isNotNull() & (F.col("doc") != nobody)).select("doc", "body")
     real = (F.col("a") != nobody) & (F.col("b") != nobody)
