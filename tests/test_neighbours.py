@@ -121,7 +121,7 @@ def test_clean_classes_pixels_and_tiles(spark, iterations):
 def on_tiles(px, name, fn, size=16):
     long = tiles.by_band(tiles.from_pixels(px, [name], size), [name])
     wide = fn(long).select("scene", "tx", "ty", F.lit(size).alias("w"), F.lit(size).alias("h"), F.col("data").alias("v"))
-    return tiles.to_pixels(wide, ["v"], size).filter(~F.isnan("v"))
+    return tiles.to_pixels(wide, ["v"], size).filter(F.col("v").isNotNull())
 
 
 def test_closing_and_slope_on_tiles(spark):
