@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import functions as F
 
 from terraloom.session import ship
-from terraloom.llm import chat, mixing, packing, partenum, phrases, pivots, quality, reputation, sharding, warc
+from terraloom.llm import chat, collocations, mixing, packing, partenum, phrases, pivots, quality, reputation, sharding, treebpe, variants, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -27,10 +27,10 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def table(spark, sf, name):
@@ -111,3 +111,43 @@ def op3(spark, sf):
 @query("op9_role_repair")
 def op9(spark, sf):
     return chat.repaired(table(spark, sf, "conversations"))
+
+
+@query("op11_tree_concatenation")
+def op11(spark, sf):
+    path = tokenizer("byte_bpe_50k.json")
+    df = treebpe.decoded(treebpe.encoded(table(spark, sf, "documents"), path), path)
+    return df.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), treebpe.ids_digest("ids").alias("ids_sha256"),
+                     F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op12_position_index")
+def op12(spark, sf):
+    return variants.grouped(table(spark, sf, "documents"))
+
+
+@query("op13_three_way_quicksort", """
+    WITH t AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    p AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM t),
+    g AS (SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
+          FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(ws) >= m),
+    f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+    tot AS (SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang),
+    c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS ws, a FROM f WHERE m >= 2),
+    inner_ AS (SELECT DISTINCT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, a
+               FROM c, (SELECT unnest([2, 3, 4]) AS k), (SELECT unnest([1, 2, 3, 4]) AS i) WHERE k < m AND i + k - 1 <= m),
+    top AS (SELECT lang, phrase, max(a) AS a FROM inner_ GROUP BY ALL),
+    kept AS (SELECT c.* FROM c LEFT JOIN top ON c.lang = top.lang AND c.phrase = top.phrase WHERE top.a IS NULL OR 100 * top.a < 100 * c.a),
+    cut AS (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y
+            FROM kept, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE k < m),
+    s AS (SELECT cut.lang, cut.phrase, cut.a, k, x.a AS l, y.a AS r, n,
+              (1000::HUGEINT * cut.a * n // (x.a::HUGEINT * y.a))::BIGINT AS score
+          FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.x JOIN f y ON y.lang = cut.lang AND y.phrase = cut.y JOIN tot ON tot.lang = cut.lang),
+    low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM low QUALIFY rank <= 2000""")
+def op13(spark, sf):
+    return collocations.mined(table(spark, sf, "documents"))
