@@ -86,9 +86,6 @@ def header(file) -> dict:
     def one(tag, default=None):
         return main.get(tag, [default])[0]
 
-    width, height = one(WIDTH), one(HEIGHT)
-    tiled = TILE_WIDTH in main
-    kind = KINDS.get(one(SAMPLE_FORMAT, 1), "complex")
     # GeoTIFF: an affine matrix, or a scale with a tie point.
     transform = None
     if MATRIX in main:
@@ -104,21 +101,34 @@ def header(file) -> dict:
         nodata = float(main[NODATA])
     except (KeyError, ValueError):
         nodata = None
-    reduced = [d for d in directories[1:] if d.get(SUBFILE, [0])[0] & 1 and not d.get(SUBFILE, [0])[0] & 4]
+    reduced = [d for d in directories[1:] if WIDTH in d and d.get(SUBFILE, [0])[0] & 1 and not d.get(SUBFILE, [0])[0] & 4]
     return {
-        "driver": "GTiff", "width": width, "height": height, "band_count": one(SAMPLES, 1),
-        "dtype": f"{kind}{one(BITS, 1)}",
+        "driver": "GTiff", **_layout(main), "photometric": one(PHOTOMETRIC, 1), "nodata": nodata,
+        "epsg": codes.get(GEO_PROJECTED, codes.get(GEO_GEOGRAPHIC)), "transform": transform,
+        "overview_widths": [d[WIDTH][0] for d in reduced],
+        "metadata": main.get(METADATA), "byte_order": order,
+        # Largest first; those that store no cells of their own are of no use to a reader.
+        "overviews": sorted((_layout(d) for d in reduced if d.keys() & {TILE_OFFSETS, STRIP_OFFSETS}), key=lambda d: -d["width"]),
+    }
+
+
+def _layout(tags: dict) -> dict:
+    """Size, sample layout and block index of one image in the file."""
+
+    def one(tag, default=None):
+        return tags.get(tag, [default])[0]
+
+    width, height, tiled = one(WIDTH), one(HEIGHT), TILE_WIDTH in tags
+    kind = KINDS.get(one(SAMPLE_FORMAT, 1), "complex")
+    return {
+        "width": width, "height": height, "band_count": one(SAMPLES, 1), "dtype": f"{kind}{one(BITS, 1)}",
         "compression": COMPRESSIONS.get(one(COMPRESSION, 1), f"OTHER-{one(COMPRESSION, 1)}"),
-        "interleave": "BAND" if one(PLANAR, 1) == 2 else "PIXEL",
-        "tiled": "YES" if tiled else "NO",
+        "interleave": "BAND" if one(PLANAR, 1) == 2 else "PIXEL", "tiled": "YES" if tiled else "NO",
         "block_x": one(TILE_WIDTH) if tiled else width,
         "block_y": one(TILE_HEIGHT) if tiled else min(one(STRIP_ROWS, height), height),
-        "predictor": one(PREDICTOR, 1), "photometric": one(PHOTOMETRIC, 1), "nodata": nodata,
-        "epsg": codes.get(GEO_PROJECTED, codes.get(GEO_GEOGRAPHIC)), "transform": transform,
-        "overview_widths": [d[WIDTH][0] for d in reduced if WIDTH in d],
-        "metadata": main.get(METADATA), "byte_order": order,
-        "offsets": main.get(TILE_OFFSETS if tiled else STRIP_OFFSETS, []),
-        "counts": main.get(TILE_COUNTS if tiled else STRIP_COUNTS, []),
+        "predictor": one(PREDICTOR, 1),
+        "offsets": tags.get(TILE_OFFSETS if tiled else STRIP_OFFSETS, []),
+        "counts": tags.get(TILE_COUNTS if tiled else STRIP_COUNTS, []),
     }
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from terraloom.functions import indices, tilemath
-from terraloom.operators import algebra, focal, halo
+from terraloom.operators import algebra, focal, halo, regrid
 
 
 def vegetation(px: DataFrame, height_tolerance: float = 3.5, max_height: float | None = None,
@@ -57,6 +57,18 @@ def vegetation_tiles(wide: DataFrame, size: int, height_tolerance: float = 3.5,
     return halo.closing(masked, size)
 
 
+def vegetation_of_grids(imagery: DataFrame, heights: DataFrame, size: int, height_tolerance: float = 3.5,
+                        max_height: float | None = None, ndvi_threshold: float = indices.VEGETATION_NDVI,
+                        method: str = "bilinear", cell: float | None = None) -> DataFrame:
+    """The vegetation workflow on imagery tiles and height tiles (``dsm``, ``dem``) of other grids.
+
+    Both carry a ``transform`` per scene, as ``rasters.to_tiles`` gives it; the
+    heights are resampled to each imagery scene's grid first.
+    """
+    both = regrid.overlay(imagery, heights, ["dsm", "dem"], size, method, cell)
+    return vegetation_tiles(both, size, height_tolerance, max_height, ndvi_threshold)
+
+
 def landcover(px: DataFrame, res_x: float = 1.0, res_y: float = 1.0, ndvi_threshold: float = 0.3,
               height_threshold: float = 3.5, max_height: float | None = 50.0, iterations: int = 2,
               slope_threshold: float = 5.0, use_height: bool = True) -> DataFrame:
