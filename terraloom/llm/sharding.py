@@ -10,15 +10,19 @@ are runs of that order with equal bytes.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+import math
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from terraloom.llm.common import saved, text_bytes, unit
 
 Key = tuple[int, int, int]
 
+#: Records of a range, whose order is found in one task.
+RANGE_ROWS = 500_000
+
 
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Id, size, checksum and the three key columns; texts stay behind."""
@@ -33,20 +37,28 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     )
 
 
+def _ordered(columns) -> np.ndarray:
+    """Keys as byte strings of one length that sort as the keys do."""
+    shifted = [np.asarray(c, np.int64).view(np.uint64) ^ np.uint64(1 << 63) for c in columns]
+    return np.ascontiguousarray(np.stack(shifted, axis=1).astype(">u8")).view("S24").ravel()
+
+
 def _place(bounds: list[Key], name: str):
-    """Adds the number of bounds at or below each row's key."""
+    """Adds the number of bounds at or below each row's key; all other columns stay in Arrow as they are."""
 
     def run(batches):
+        edges = _ordered(list(zip(*bounds))) if bounds else np.zeros(0, "S24")
         for b in batches:
-            b[name] = pd.Series([bisect_right(bounds, k) for k in zip(b._k1, b._k2, b._k3)], dtype="int32", index=b.index)
-            yield b
+            keys = _ordered([b.column(k).to_numpy() for k in ("_k1", "_k2", "_k3")])
+            at = pa.array(np.searchsorted(edges, keys, "right"), pa.int32())
+            yield pa.RecordBatch.from_arrays([*b.columns, at], names=[*b.schema.names, name])
 
     return run
 
 
 def place(df: DataFrame, bounds: list[Key], name: str) -> DataFrame:
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema if f.name != name)
-    return df.drop(name).mapInPandas(_place(bounds, name), f"{schema}, {name} int")
+    return df.drop(name).mapInArrow(_place(bounds, name), f"{schema}, {name} int")
 
 
 def sample(df: DataFrame, total: int, wanted: int) -> list[Key]:
@@ -94,10 +106,10 @@ def by_bytes(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "
     records of their own; an empty table gives no rows.  Other columns of
     ``docs``, whatever their names, are not read.
     """
-    ranges = ranges or shards * 8
     df = saved(keyed(docs, doc_id, text), "shard-keys")
     whole = df.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
     total = whole["bytes"]
+    ranges = ranges or max(shards * 8, math.ceil(whole["n"] / RANGE_ROWS))
     bounds = splitters(df, total, ranges) if total else []
     df = place(df, bounds, "_range")
 
@@ -149,7 +161,7 @@ def _shard_bounds(df: DataFrame, total: int, shards: int, together: float) -> li
     # A shard without a first record of its own is empty: its bound is the next one's.
     full, missing = [], sorted(set(range(1, shards)) - set(cuts))
     it = dict(zip(sorted(cuts), bounds))
-    nxt = ((1 << 63), 0, 0)
+    nxt = ((1 << 63) - 1,) * 3  # above every key
     for i in range(shards - 1, 0, -1):
         nxt = it.get(i, nxt) if i not in missing else nxt
         full.append(nxt)
