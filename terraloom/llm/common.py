@@ -44,3 +44,25 @@ def unit(*cols: str | Column, seed: int = 0) -> Column:
 def listed(table, name: str) -> list:
     """A column of one side of a cogroup as a list; that side has no columns where it has no rows."""
     return table.column(name).to_pylist() if table.num_rows else []
+
+
+def sealed(docs: DataFrame):
+    """``docs`` with columns c0, c1, ..., their new names by the old ones, and a function that gives the old names back.
+
+    Work between the two may add columns of any name that begins with an
+    underscore: none of the input can have it.
+    """
+    names = docs.columns
+    inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+
+    return inner, dict(zip(names, inner.columns)), back
+
+
+def unclashing(columns, added) -> None:
+    """Raise where an operator would have to return two columns of one name."""
+    both = sorted(set(columns) & set(added))
+    if both:
+        raise ValueError(f"columns {both} have the names of results; rename them first")

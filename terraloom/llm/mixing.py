@@ -16,10 +16,11 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from terraloom.llm.common import saved, unit
+from terraloom.llm.common import saved, sealed, unclashing, unit
 from terraloom.operators.joins import is_small
 
 BLOCK_TOKENS = 1 << 20
+ADDED = ("_source", "_tokens", "_u", "_block", "_name", "_blocks", "_often", "_budget", "_number", "_epoch", "_place", "_upto")
 
 
 def token_count(text: str) -> Column:
@@ -133,10 +134,17 @@ def mixed(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text:
     Sorted by ``_place`` (then ``_u``) the rows are the mixture.  A source may
     end one document over its budget (or that document's copies).  A null source is a source, null
     texts have one token, null ids and repeated rows are documents of their
-    own (rows of one id share a block), an empty table gives no rows.  Extra
-    columns may have any name that does not begin with an underscore.
+    own (rows of one id share a block), an empty table gives no rows.  An
+    extra column with the name of a result, or of a step to it, raises; ``repeated`` takes any names.
     """
+    unclashing(docs.columns, ADDED)
     placed, epochs = schedule(docs, source, doc_id, token_count(text) if tokens is None else tokens, max_repeats, target_entropy, budget, block_tokens)
     # One row per million tokens: texts stay where they are while a job proves that it fits a broadcast.
     epochs = F.broadcast(epochs) if is_small(epochs) else epochs
     return _meeting(placed, epochs).filter(F.col("_u") <= F.col("_upto")).drop("_upto")
+
+
+def repeated(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``mixed`` with the columns of ``docs``, whatever their names."""
+    inner, of, back = sealed(docs)
+    return back(mixed(inner, of[source], of[doc_id], of[text], **options))

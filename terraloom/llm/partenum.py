@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from terraloom.llm.common import bytes_of, listed, saved
+from terraloom.llm.common import bytes_of, listed, saved, sealed
 from terraloom.llm.graph import components
 
 WORDS = 5
@@ -424,9 +424,11 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     # Equal texts: one leader for each, the least id.
     classes = named.groupBy("k1", "k2").agg(F.min("doc").alias("doc"), F.min(F.when(F.col("doc").isNull(), 1).otherwise(0)).alias("_none"))
     nobody = F.lit(-(1 << 63)).cast("long")  # leads texts that only null ids have, and meets no one
-    chunk = F.pmod(F.xxhash64("doc", F.lit(2)), F.lit(chunks)).cast("int").alias("chunk")
+    # Texts of null ids are spread by their hash.
+    home = F.when(F.col("doc") == nobody, F.col("k1")).otherwise(F.col("doc"))
+    chunk = F.pmod(F.xxhash64(home, F.lit(2)), F.lit(chunks)).cast("int").alias("chunk")
     filled = F.coalesce("doc", nobody).alias("doc")
-    leaders = classes.select(filled, F.col("k1").alias("l1"), F.col("k2").alias("l2")).select(F.col("doc").alias("lead"), "l1", "l2", chunk)
+    leaders = classes.select(filled, "k1", "k2").select(F.col("doc").alias("lead"), F.col("k1").alias("l1"), F.col("k2").alias("l2"), chunk)
     texts = named.select(filled, "k1", "k2", "text").select("*", chunk)
     # Texts are shuffled once: both passes group the same exchange.
     by_chunk = texts.groupBy("chunk")
@@ -464,5 +466,6 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that are the least of their component, with their columns; rows of null ids all stay."""
     keep = joined(docs, doc_id, text).filter("component_id = doc_id").select(F.col("doc_id").alias("_keep")).distinct()
-    null = docs.filter(F.col(f"`{doc_id}`").isNull())
-    return docs.join(keep, F.col(f"`{doc_id}`") == F.col("_keep"), "left_semi").union(null)
+    inner, of, back = sealed(docs)
+    own = F.col(of[doc_id])
+    return back(inner.join(keep, own == F.col("_keep"), "left_semi").union(inner.filter(own.isNull())))

@@ -26,9 +26,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from terraloom.llm.common import bytes_of, listed
+from terraloom.llm.common import bytes_of, listed, sealed, unclashing
 
 GRAM = 20
+#: Lengths of strings that triggers and masks of 64 bits allow.
+SHORTEST, LONGEST = 28, 83
+ADDED = ("_n_bytes", "_n_removed", "_n_spans", "_kept_sha256")
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
 #: Triggers in more documents than this are compared string by string, each string once per chunk.
 HOT = 4096
@@ -443,27 +446,41 @@ def deduplicated(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text
     document with a smaller id.  Null texts are empty (and stay null), texts
     shorter than ``length`` are left alone, a null id counts as larger than any
     other, and rows of one id take nothing from each other.  A character cut
-    in two is dropped from the text; the digest is of the bytes.  Extra columns
-    may have any name that does not begin with an underscore.
+    in two is dropped from the text; the digest is of the bytes.  A kept column
+    with the name of a result raises; ``cleaned`` takes any names.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    if not SHORTEST <= length <= LONGEST:
+        raise ValueError(f"length must be {SHORTEST} to {LONGEST} bytes, not {length}")
     keep = list(keep or docs.columns)
+    unclashing(keep, ADDED)
     columns = list(dict.fromkeys([*keep, doc_id, text]))
+    inner = {c: f"c{i}" for i, c in enumerate(columns)}
     total, spark = bytes_of(docs, text), docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = max(math.ceil(total / CHUNK_BYTES), min(tasks, math.ceil(total / (1 << 18))), 1)
     buckets = max(math.ceil(total / BUCKET_BYTES), min(tasks, math.ceil(total / (1 << 18))), 1)
-    body = docs.select(*[F.col(f"`{c}`") for c in columns]).withColumn(
-        "_chunk", F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.lit(10)), F.lit(chunks)).cast("int"))
+    # Names of their own for the columns: none clashes with ``_chunk``.  Rows without an id are spread by their text.
+    spread = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.col(f"`{text}`")))
+    body = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()], F.pmod(F.xxhash64(spread, F.lit(10)), F.lit(chunks)).cast("int").alias("_chunk"))
+    doc_id, text, told = inner[doc_id], inner[text], keep
+    keep = [inner[c] for c in keep]
     by_chunk = body.groupBy("_chunk")
     found = by_chunk.applyInArrow(_propose(doc_id, text, length, buckets), _ddl(TRIGGERS))
     shared = found.groupBy("bucket").applyInArrow(_meet(hot), _ddl(SHARED))
     entries = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(_describe(doc_id, text, length, buckets), _ddl(ENTRIES))
     answers = entries.groupBy("bucket").applyInArrow(_decide(length), _ddl(ANSWERS))
-    out = docs.select(*[F.col(f"`{c}`") for c in keep]).withColumns({
+    out = body.select(*keep).withColumns({
         "_n_bytes": F.lit(0).cast("long"), "_n_removed": F.lit(0).cast("long"), "_n_spans": F.lit(0).cast("long"), "_kept_sha256": F.lit("")}).schema
     for field in out:
         field.nullable = True
     arrow = to_arrow_schema(out)
-    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_finish(doc_id, text, length, keep, with_text, arrow), out)
+    done = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_finish(doc_id, text, length, keep, with_text, arrow), out)
+    return done.toDF(*told, *ADDED)
+
+
+def cleaned(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with their columns, whatever their names, and the remaining text; see ``deduplicated``."""
+    inner, of, back = sealed(docs)
+    return back(deduplicated(inner, length, of[doc_id], of[text]))

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from terraloom.llm.common import A_TO_Z, BLANK_RUN, saved
+from terraloom.llm.common import A_TO_Z, BLANK_RUN, saved, sealed, unclashing
 
 SYMBOLS = "#*$%&|<>"
 
@@ -178,9 +178,13 @@ def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     both counts as bad, one with null as unlabelled).  A stratum, or a whole
     table, with too few labels certifies nothing and only the base rules reject.
     Null texts have no words and fail the base rules.  Null ids, repeated rows
-    and extra columns are kept as they are.
+    and extra columns are kept as they are; one in ``keep`` with the name of a
+    result raises, ``kept`` takes any names.
     """
-    keep = keep or docs.columns
+    told = list(keep or docs.columns)
+    unclashing(told, ("_q", "_base_failed", "_kept"))
+    docs, of, _ = sealed(docs)
+    doc_id, text, stratum, keep = of[doc_id], of[text], of[stratum], [of[c] for c in told]
     marks = labels.filter(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_label_of")).agg(
         F.min(F.col("quality").cast("int")).alias("_good"))
     kept = [F.col(f"`{c}`") for c in dict.fromkeys([*keep, doc_id, stratum])]
@@ -195,10 +199,12 @@ def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         rejected = rejected | hit
     out = df.join(cuts, F.col(f"`{stratum}`").eqNullSafe(cuts["_stratum"]), "left")
     return out.select(
-        *[F.col(f"`{c}`") for c in keep], "_q", base_failed().alias("_base_failed"),
+        *[F.col(c).alias(name) for c, name in zip(keep, told)], "_q", base_failed().alias("_base_failed"),
         (~base_failed() & ~rejected).alias("_kept"))
 
 
 def kept(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that pass, with the columns they came with."""
-    return judged(docs, labels, **options).filter("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    inner, of, back = sealed(docs)
+    named = {k: of[options.get(k, default)] for k, default in (("doc_id", "doc_id"), ("text", "text"), ("stratum", "lang"))}
+    return back(judged(inner, labels, **{**options, **named}).filter("_kept"))

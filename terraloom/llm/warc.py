@@ -75,7 +75,11 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = "2024-0
     first = records.groupBy("content_key").agg(F.min(order).alias("_first"))
     # Copies within a task become one row before any payload moves.
     payloads = pages.select(_payload(html).alias("payload")).withColumn("content_key", F.sha2("payload", 256)).dropDuplicates(["content_key"])
-    _table(payloads.filter(F.sha2("payload", 256) == F.col("content_key")), f"{folder}/payloads")
+    # The stored bytes are read back: a key that is not theirs, or one that is missing, ends the job.
+    stored = _table(payloads, f"{folder}/payloads").select(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.sha2("payload", 256) != F.col("content_key")).alias("wrong")).first()
+    if stored["wrong"] or stored["n"] != first.count():
+        raise RuntimeError(f"{folder}: stored payloads do not have their digests")
 
     slim = records.join(first, "content_key")
     revisit = (F.col("payload_bytes") >= min_bytes) & (F.col("record_no") != F.col("_first.record_no"))
