@@ -28,13 +28,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the bytes of 50-byte strings that smaller ids have; n_chars follows the text."""
     ship(spark)
-    out = phrases.deduplicated(docs, 50).select(docs.columns)
-    return out.withColumn("n_chars", F.length("text").cast("long"))
+    return phrases.cleaned(docs, 50).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once, and those of small sources again, up to 1.25 times as a source."""
-    return mixing.mixed(docs, max_repeats=1.25).select(docs.columns)
+    return mixing.repeated(docs, max_repeats=1.25)
 
 
 def token_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
