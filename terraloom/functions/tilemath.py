@@ -104,3 +104,86 @@ def landcover(index_value: float = 0.3, height_value: float = 3.5, max_height: f
         return np.where(np.isnan(n + r + s + d), np.nan, out)
 
     return pointwise(classes, nir, red, dsm, dem)
+
+
+def passing(a: str | Column, b: str | Column, value: float, greater: bool = True) -> Column:
+    """The normalised difference where it is beyond ``value``, NaN elsewhere."""
+
+    def held(x, y):
+        v = difference(x, y)
+        return np.where(v > value if greater else v < value, v, np.nan)
+
+    return pointwise(held, a, b)
+
+
+def heights_between(dsm: str | Column, dem: str | Column, low: float, high: float | None = None) -> Column:
+    """Height above ground within the range, both ends inclusive; NaN elsewhere."""
+
+    def held(s, d):
+        h = height(s, d)
+        inside = h >= low if high is None else (h >= low) & (h <= high)
+        return np.where(inside, h, np.nan)
+
+    return pointwise(held, dsm, dem)
+
+
+def with_numbers(fn, arrays, numbers) -> Column:
+    """``fn(*float64 arrays, *float64 numbers) -> array``: ``pointwise`` with a number per tile next to its cells."""
+    n = len(arrays)
+
+    @F.arrow_udf("array<float>")
+    def run(*columns: pa.Array) -> pa.Array:
+        cells, single = columns[:n], columns[n:]
+        there = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in cells])
+        lengths = np.max([np.where(v, np.diff(c.offsets.to_numpy()), 0) for v, c in zip(there, cells)], axis=0)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        values = [_cells(c, ends[:-1], lengths) for c in cells]
+        more = [np.repeat(c.cast(pa.float64()).to_numpy(zero_copy_only=False), lengths) for c in single]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out = fn(*values, *more).astype(np.float32)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out), mask=pa.array(~there.any(axis=0)))
+
+    return run(*arrays, *numbers)
+
+
+def stretch(value: str | Column, low: str | Column, high: str | Column) -> Column:
+    """(value - low) / (high - low) within 0 and 1; NaN where the span is 0."""
+    return with_numbers(lambda v, a, b: np.where(b != a, np.clip((v - a) / np.where(b != a, b - a, 1.0), 0.0, 1.0), np.nan), [value], [low, high])
+
+
+def hsv(part: int, red: str | Column, green: str | Column, blue: str | Column, gain: str | Column) -> Column:
+    """Hue (0), saturation (1) or value (2) of ``indices.hsv``, the bands times ``gain`` cut to whole numbers first."""
+
+    def worked(r, g, b, k):
+        r, g, b = np.floor(r * k), np.floor(g * k), np.floor(b * k)
+        top, low = np.maximum(np.maximum(r, g), b), np.minimum(np.minimum(r, g), b)
+        span = top - low
+        half_up = lambda v: np.floor(v + 0.5)
+        if part == 2:
+            return half_up(top)
+        if part == 1:
+            return half_up(np.where(top == 0, np.where(np.isnan(top), np.nan, 0.0), 255 * span / np.where(top == 0, 1.0, top)))
+        safe = np.where(span == 0, 1.0, span)
+        degrees = np.where(span == 0, 0.0, np.where(top == r, 60 * (g - b) / safe, np.where(
+            top == g, 120 + 60 * (b - r) / safe, 240 + 60 * (r - g) / safe)))
+        degrees = np.where(degrees < 0, degrees + 360, degrees)
+        return np.where(np.isnan(span), np.nan, half_up(degrees / 2) % 180)
+
+    return with_numbers(worked, [red, green, blue], [gain])
+
+
+def selected(a: str | Column, b: str | Column, value: float, greater: bool = True, low: float = 0.0, high: float | None = None,
+             use_height: bool = True, dsm="dsm", dem="dem") -> Column:
+    """0/1 where the normalised difference is beyond ``value``, within a height range if asked for."""
+
+    def held(x, y, *heights):
+        v = difference(x, y)
+        inside = v > value if greater else v < value
+        missing = np.isnan(x + y)
+        if heights:
+            tall = height(*heights)
+            inside = inside & (tall >= low) & (True if high is None else tall <= high)
+            missing = missing | np.isnan(tall)
+        return np.where(missing, np.nan, inside)
+
+    return pointwise(held, a, b, *((dsm, dem) if use_height else ()))

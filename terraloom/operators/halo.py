@@ -19,16 +19,16 @@ RESULT = pa.schema([
 ])
 
 
-def _strip(dx: int, dy: int, size: int, width: int) -> Column:
+def _strip(dx: int, dy: int, size: int, width: int, data: str = "data") -> Column:
     """The part of ``data`` that the neighbour at (dx, dy) needs, row-major."""
     rows = {-1: (0, width), 0: (0, size), 1: (size - width, width)}[dy]
     first = {-1: 0, 0: 0, 1: size - width}[dx]
     count = size if dx == 0 else width
     if dx == 0:
-        return F.slice("data", rows[0] * size + 1, rows[1] * size)
+        return F.slice(data, rows[0] * size + 1, rows[1] * size)
     return F.flatten(F.transform(
         F.sequence(F.lit(rows[0]), F.lit(rows[0] + rows[1] - 1)),
-        lambda r: F.slice("data", r * size + first + 1, count),
+        lambda r: F.slice(data, r * size + first + 1, count),
     ))
 
 
@@ -100,26 +100,105 @@ def close_mask(mask: np.ndarray, valid: np.ndarray, element: str, iterations: in
     return mask
 
 
-def closing(tiles: DataFrame, size: int, element: str = "square", iterations: int = 1) -> DataFrame:
-    """Binary closing of 0/1 tiles."""
+def apply_many(wide: DataFrame, kernels: dict, size: int, carry=()) -> DataFrame:
+    """Several kernels over several bands of wide tiles, with one border exchange.
+
+    ``kernels``: result name -> (bands, width, ``fn(*padded) -> array``); each
+    padded array has the kernel's own ``width`` around the tile, NaN for absent
+    cells.  A band's strips are as wide as the widest kernel on it needs, and
+    bands of ``carry`` come along without any.  One row per tile: scene, tx, ty,
+    the carried bands and the results (NaN where a kernel's first band is).
+    """
+    reach: dict[str, int] = dict.fromkeys(carry, 0)
+    for bands, width, _ in kernels.values():
+        if not 0 <= width <= size:
+            raise ValueError("a border must be between 0 and the tile size")
+        for b in bands:
+            reach[b] = max(reach.get(b, 0), width)
+    cells = {b: f"b{n}" for n, b in enumerate(reach)}
+    held = wide.select("scene", "tx", "ty", *[F.col(b).cast("array<double>").alias(n) for b, n in cells.items()])
+    none = F.lit(None).cast("array<double>")
+
+    def strip(b, dx, dy):
+        if dx == dy == 0:
+            return F.col(cells[b])
+        return _strip(dx, dy, size, reach[b], cells[b]) if reach[b] else none
+
+    pieces = [
+        F.struct(
+            F.lit(-dx).alias("dx"), F.lit(-dy).alias("dy"), (F.col("tx") + dx).cast("int").alias("tx"), (F.col("ty") + dy).cast("int").alias("ty"),
+            *[strip(b, dx, dy).alias(n) for b, n in cells.items()])
+        for dx in (-1, 0, 1) for dy in (-1, 0, 1)
+    ]
+    sent = held.select("scene", F.inline(F.array(*pieces)))
+    result = pa.schema([("scene", pa.string()), ("tx", pa.int32()), ("ty", pa.int32()), *[(n, pa.list_(pa.float64())) for n in (*carry, *kernels)]])
+
+    def padded(rows: pa.Table, dx, dy, b):
+        width = reach[b]
+        full = size + 2 * width
+        span = {-1: slice(0, width), 0: slice(width, width + size), 1: slice(width + size, full)}
+        out, data = np.full((full, full), np.nan), rows[cells[b]].combine_chunks()
+        there, ends, values = data.is_valid().to_numpy(zero_copy_only=False), data.offsets.to_numpy(), data.values.to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(there):
+            part = out[span[dy[i]], span[dx[i]]]
+            part[:] = values[ends[i]:ends[i + 1]].reshape(part.shape)
+        return out
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        dx, dy = rows["dx"].to_numpy(), rows["dy"].to_numpy()
+        if not ((dx == 0) & (dy == 0)).any():
+            return result.empty_table()
+        grids = {b: padded(rows, dx, dy, b) for b in cells}
+
+        def around(b, width):
+            cut = reach[b] - width
+            return grids[b][cut:cut + size + 2 * width, cut:cut + size + 2 * width]
+
+        out = [around(b, 0).ravel() for b in carry]
+        for bands, width, fn in kernels.values():
+            own = [around(b, width) for b in bands]
+            done = np.where(np.isnan(own[0]), np.nan, fn(*own))
+            out.append(done[width:width + size, width:width + size].ravel())
+        return pa.table([pa.array([v], f.type) for v, f in zip([*[k.as_py() for k in key], *out], result)], schema=result)
+
+    return sent.groupBy("scene", "tx", "ty").applyInArrow(
+        run, "scene string, tx int, ty int, " + ", ".join(f"{n} array<double>" for n in (*carry, *kernels)))
+
+
+def closing_kernel(element: str = "square", iterations: int = 1):
+    """(width, fn) of the binary closing of 0/1 cells."""
 
-    def close(padded, valid):
+    def close(padded, valid=None):
+        valid = ~np.isnan(padded) if valid is None else valid
         return close_mask(padded == 1, valid, element, iterations).astype(np.float32)
 
-    return apply(tiles, 2 * iterations, close, size)
+    return 2 * iterations, close
 
 
-def clean_classes(tiles: DataFrame, size: int, iterations: int = 2, element: str = "cross",
-                  classes=None) -> DataFrame:
-    """Per-class closing of a class tile, for ``classes`` or every positive code; the higher class wins."""
+def closing(tiles: DataFrame, size: int, element: str = "square", iterations: int = 1) -> DataFrame:
+    """Binary closing of 0/1 tiles."""
+    width, close = closing_kernel(element, iterations)
+    return apply(tiles, width, close, size)
 
-    def clean(padded, valid):
+
+def clean_kernel(iterations: int = 2, element: str = "cross", classes=None):
+    """(width, fn) of the closing per class; the higher class wins."""
+
+    def clean(padded, valid=None):
+        valid = ~np.isnan(padded) if valid is None else valid
         out = padded.copy()
         for code in sorted(np.unique(padded[padded > 0]) if classes is None else classes):
             out[close_mask(padded == code, valid, element, iterations)] = code
         return out
 
-    return apply(tiles, 2 * iterations, clean, size)
+    return 2 * iterations, clean
+
+
+def clean_classes(tiles: DataFrame, size: int, iterations: int = 2, element: str = "cross",
+                  classes=None) -> DataFrame:
+    """Per-class closing of a class tile, for ``classes`` or every positive code; the higher class wins."""
+    width, clean = clean_kernel(iterations, element, classes)
+    return apply(tiles, width, clean, size)
 
 
 def fill_holes(tiles: DataFrame, size: int, distance: int = 10, smoothing: int = 1,
@@ -194,8 +273,8 @@ def mean3(tiles: DataFrame, size: int) -> DataFrame:
     return apply(tiles, 1, mean, size)
 
 
-def slope(tiles: DataFrame, size: int, res_x: float = 1.0, res_y: float = 1.0, fmt: str = "degrees") -> DataFrame:
-    """Horn slope of elevation tiles, absent neighbours replaced like in ``focal.slope``."""
+def slope_kernel(res_x: float = 1.0, res_y: float = 1.0, fmt: str = "degrees"):
+    """(width, fn) of the Horn slope."""
     if fmt not in ("degrees", "percent", "rise_run"):
         raise ValueError(f"unknown slope format {fmt!r}")
 
@@ -203,7 +282,7 @@ def slope(tiles: DataFrame, size: int, res_x: float = 1.0, res_y: float = 1.0, f
         moved = shifted(grid, dy, dx, np.nan)
         return np.where(np.isnan(moved), grid, moved)
 
-    def horn(padded, valid):
+    def horn(padded, valid=None):
         left, right = side(padded, 0, -1), side(padded, 0, 1)
         across, smooth = right - left, left + 2 * padded + right
         gx = (side(across, -1, 0) + 2 * across + side(across, 1, 0)) / (8 * res_x)
@@ -211,4 +290,10 @@ def slope(tiles: DataFrame, size: int, res_x: float = 1.0, res_y: float = 1.0, f
         run = np.sqrt(gx * gx + gy * gy)
         return {"degrees": np.degrees(np.arctan(run)), "percent": run * 100, "rise_run": run}[fmt]
 
-    return apply(tiles, 1, horn, size)
+    return 1, horn
+
+
+def slope(tiles: DataFrame, size: int, res_x: float = 1.0, res_y: float = 1.0, fmt: str = "degrees") -> DataFrame:
+    """Horn slope of elevation tiles, absent neighbours replaced like in ``focal.slope``."""
+    width, horn = slope_kernel(res_x, res_y, fmt)
+    return apply(tiles, width, horn, size)

@@ -86,6 +86,38 @@ def landcover(px: DataFrame, res_x: float = 1.0, res_y: float = 1.0, ndvi_thresh
     return focal.classify_slope(df, slope_threshold).drop("dem") if use_height else df
 
 
+def landcover_tiles(wide: DataFrame, size: int, res_x: float = 1.0, res_y: float = 1.0, ndvi_threshold: float = 0.3,
+                    height_threshold: float = 3.5, max_height: float | None = 50.0, iterations: int = 2,
+                    slope_threshold: float = 5.0) -> DataFrame:
+    """``landcover`` on wide tiles: scene, tx, ty and arrays ndvi, ndsm, class, cleaned, slope, slope_class.
+
+    Index, height and classes are worked out inside each row; cleaning and slope
+    read different bands with different borders from one exchange.  Missing
+    cells are NaN in every array.
+    """
+    pointed = wide.select(
+        "scene", "tx", "ty", "dem", tilemath.ndvi(zero="zero").alias("ndvi"), tilemath.ndsm().alias("ndsm"),
+        tilemath.landcover(ndvi_threshold, height_threshold, max_height).alias("class"))
+    horn_width, horn = halo.slope_kernel(res_x, res_y)
+    clean_width, clean = halo.clean_kernel(iterations)
+    kernels = {
+        "cleaned": (["class"], clean_width, clean), "slope": (["dem"], horn_width, horn),
+        "slope_class": (["dem"], horn_width, lambda dem: (horn(dem) >= slope_threshold).astype(float)),
+    }
+    return halo.apply_many(pointed, kernels, size, carry=["ndvi", "ndsm", "class"])
+
+
+def general_tiles(wide: DataFrame, size: int, height_tolerance: float = 3.5, max_height: float | None = None, greater: bool = True,
+                  index_value: float = 0.3, mode: str = "ndvi", use_height: bool = True) -> DataFrame:
+    """``general`` on wide tiles: long tiles with band ``selected``, 0 or 1, NaN where a band is missing."""
+    if mode not in ("ndvi", "ndwi"):
+        raise ValueError(f"mode must be 'ndvi' or 'ndwi', not {mode!r}")
+    bands = ("nir", "red") if mode == "ndvi" else ("green", "nir")
+    masked = wide.select("scene", F.lit("selected").alias("band"), "tx", "ty", tilemath.selected(
+        *bands, index_value, greater, height_tolerance, max_height, use_height).alias("data"))
+    return halo.closing(masked, size) if use_height else masked
+
+
 def landcover_summary(cells: DataFrame) -> DataFrame:
     """The statistics of a land-cover run as one row."""
     c = F.col

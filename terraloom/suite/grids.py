@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terraloom.functions import indices
-from terraloom.operators import algebra, resample, spatial, stats, tiles
+from terraloom.operators import algebra, composite, resample, spatial, stats, tiles
 from terraloom.suite import fixtures as fx
 from terraloom.suite.registry import query, rounded, six
 
@@ -392,15 +392,14 @@ def compare_levels(spark, sf):
 @query("z12_survey_dates", fx.with_sql(fx.SURVEYS_SQL) + f"""SELECT year, COUNT(*) AS cells, ROUND(AVG({NDVI}), 6) AS ndvi
 FROM surveys WHERE x BETWEEN 4 AND 30 AND y BETWEEN 10 AND 60 GROUP BY year""")
 def survey_dates(spark, sf):
-    px = spatial.clip(fx.surveys(spark, sf), (4.0, 10.0, 31.0, 61.0))
-    return algebra.ndvi(px).groupBy("year").agg(F.count(F.lit(1)).alias("cells"), six(F.avg("ndvi")).alias("ndvi"))
+    index = indices.ndvi(c("nir"), c("red"))
+    return rounded(composite.by_date(fx.surveys(spark, sf), index, "ndvi", (4.0, 10.0, 31.0, 61.0)), "ndvi")
 
 
 @query("z12_survey_stack", fx.with_sql(fx.SURVEYS_SQL) + """SELECT x, y, MAX(nir) FILTER (year = '2017') AS nir_2017,
     MAX(nir) FILTER (year = '2020') AS nir_2020 FROM surveys GROUP BY x, y""")
 def survey_stack(spark, sf):
-    px = fx.surveys(spark, sf).groupBy("x", "y").pivot("year", ["2017", "2020"]).agg(F.max("nir"))
-    return px.withColumnsRenamed({"2017": "nir_2017", "2020": "nir_2020"})
+    return composite.stack(fx.surveys(spark, sf), "nir", ["2017", "2020"])
 
 
 @query("z13_world_coordinates", S + f"""SELECT x, y, {LEFT}::DOUBLE + (x + 0.5::DOUBLE) * {RES} AS world_x,
