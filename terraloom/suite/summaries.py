@@ -168,5 +168,5 @@ def landcover_tiles(spark, sf):
     """Classes, cleaning and slope of whole tiles from one border exchange."""
     out = workflows.landcover_tiles(fx.tiles(spark, sf), fx.SIZE)
     px = cells(out, "class", "ndvi", "ndsm", "cleaned", "slope", "slope_class")
-    return px.select("x", "y", c("ndvi").cast("float").alias("ndvi"), c("ndsm").cast("float").alias("ndsm"), c("class").cast("int").alias("class"),
-                     c("cleaned").cast("int").alias("cleaned"), six("slope").alias("slope"), c("slope_class").cast("tinyint").alias("slope_class"))
+    return px.select("x", "y", c("ndvi").cast("float").alias("ndvi"), c("ndsm").cast("float").alias("ndsm"), c("class").cast("tinyint").alias("class"),
+                     c("cleaned").cast("tinyint").alias("cleaned"), six("slope").alias("slope"), c("slope_class").cast("tinyint").alias("slope_class"))
