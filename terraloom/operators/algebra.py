@@ -79,6 +79,18 @@ def stretch(px: DataFrame, scene=("scene",)) -> DataFrame:
     }).drop("_low", "_high")
 
 
+def changed_tiles(a: DataFrame, b: DataFrame, value: str = "class", keys=("scene", "tx", "ty")) -> DataFrame:
+    """``changed`` on tile rows: arrays meet on tile keys, and a tile gives two numbers.
+
+    Cells that either raster lacks (NaN or beyond its array) are left out.
+    """
+    pairs = a.select(*keys, c(value).cast("array<double>").alias("_a")).join(b.select(*keys, c(value).cast("array<double>").alias("_b")), list(keys))
+    both = F.filter(F.zip_with("_a", "_b", lambda x, y: F.when(~F.isnan(x) & ~F.isnan(y), x != y)), lambda v: v.isNotNull())
+    counts = pairs.select(F.size(both).alias("_cells"), F.size(F.filter(both, lambda v: v)).alias("_changed"))
+    return counts.agg(F.coalesce(F.sum("_changed"), F.lit(0)).alias("changed"), F.coalesce(F.sum("_cells"), F.lit(0)).alias("cells")).withColumn(
+        "changed_pct", c("changed") * 100.0 / F.nullif("cells", F.lit(0)))
+
+
 def changed(a: DataFrame, b: DataFrame, value: str = "class", keys=("scene", "x", "y")) -> DataFrame:
     """Number and share of cells whose value differs between two rasters."""
     pairs = a.select(*keys, c(value).alias("_a")).join(b.select(*keys, c(value).alias("_b")), list(keys))

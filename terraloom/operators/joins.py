@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from terraloom.session import shared_folder
+
 # A side is broadcast only when both bounds hold, checked by an action.
 BROADCAST_ROWS = 200_000
 BROADCAST_CHARS = 64 * 1024 * 1024
@@ -24,6 +28,13 @@ def is_small(df: DataFrame) -> bool:
     return seen["n"] <= BROADCAST_ROWS and seen["chars"] <= BROADCAST_CHARS
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written below the shared folder and read back, so that no later job works it out again."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = 100_000) -> DataFrame:
     """Keys with ``min_rows`` rows and more than ``HOT_SHARE`` of all, with a split count.
 
@@ -77,10 +88,12 @@ def lookup(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
            spread: Column | None = None) -> DataFrame:
     """Join ``big`` to a keyed side table.
 
-    The side table is broadcast when ``is_small`` proves that it fits;
-    otherwise hot keys of the big side are salted and Spark picks the join.
-    ``spread`` must differ between rows of one key (all columns by default).
+    The side table is worked out once, into the shared folder, and broadcast
+    when ``is_small`` proves that it fits; otherwise hot keys of the big side are
+    salted and Spark picks the join.  ``spread`` must differ between rows of one
+    key (all columns by default).
     """
+    small = stored(small, "side")
     if is_small(small):
         return big.join(F.broadcast(small), keys, how)
     spread = F.struct(*big.columns) if spread is None else spread

@@ -146,9 +146,15 @@ def compare_levels(px: DataFrame, overviews: list[int], levels: int = 4, bands:
     )
 
 
-def world(px: DataFrame, left: float, top: float, res_x: float, res_y: float) -> DataFrame:
-    """Add the world coordinates of each cell centre (north is up)."""
+def world(px: DataFrame, left, top, res_x, res_y) -> DataFrame:
+    """Add the world coordinates of each cell centre (north is up); numbers, or columns of the scene."""
     return px.withColumns({
         "world_x": left + (F.col("x") + 0.5) * res_x,
         "world_y": top - (F.col("y") + 0.5) * res_y,
     })
+
+
+def world_of_scene(px: DataFrame) -> DataFrame:
+    """``world`` by each row's own ``transform`` (left, x size, 0, top, 0, y size), rotated ones included."""
+    t, x, y = F.col("transform"), F.col("x") + 0.5, F.col("y") + 0.5
+    return px.withColumns({"world_x": t[0] + x * t[1] + y * t[2], "world_y": t[3] + x * t[4] + y * t[5]})

@@ -95,7 +95,8 @@ def classes(px: DataFrame, value: str = "class", labels: dict | None = None, sce
     """Class histogram with percentages and labels."""
     labels = indices.CLASS_LABELS if labels is None else labels
     counts = px.groupBy(*scene, value).agg(F.count(F.lit(1)).alias("cells"))
-    total = F.sum("cells").over(Window.partitionBy(*scene)) if scene else counts.agg(F.sum("cells")).scalar()
+    # The total comes from the counts, a row per class; the cells are read once.
+    total = F.sum("cells").over(Window.partitionBy(*scene))
     names = F.create_map(*[F.lit(v) for pair in labels.items() for v in pair])
     return counts.select(
         *scene, value, F.try_element_at(names, F.col(value).cast("int")).alias("label"),

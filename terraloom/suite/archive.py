@@ -6,9 +6,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from terraloom.operators import regrid, tiles
+from terraloom.operators import algebra, inventory, regrid, resample, spatial, tiles
 from terraloom.plans import workflows
-from terraloom.sources import listing, rasters
+from terraloom.sources import listing, rasters, sinks
 from terraloom.suite import fixtures as fx, tiffs
 from terraloom.suite.files import folder, put
 from terraloom.suite.registry import query, six
@@ -46,11 +46,39 @@ def files_of(spark, sf, bands=fx.BANDS[:4], dtype="uint8"):
         return pd.DataFrame({"key": [f"{k}.tif"], "body": [body]})
 
     put(strips.groupBy("file").applyInPandas(encode, "key string, body binary"), root)
+    # Pages under the name of a raster: they fail, and the batch goes on.
+    pages = fx.table(spark, sf, "pages").filter(c("page_id") % 50 == 3).select(
+        F.concat(F.lit("p"), "page_id", F.lit("x.tif")).alias("key"), c("html").cast("binary").alias("body"))
+    put(pages, root)
     # The headers are stored: several reads start from them.
     rasters.headers(listing.objects(spark, root, suffixes=(".tif",))).write.parquet(f"{root}-headers")
     return spark.read.parquet(f"{root}-headers")
 
 
+BAD_SQL = "SELECT page_id FROM pages WHERE page_id % 50 = 3"
+
+
+@query("s07_magic_mixed", S + ", " + FILE_SQL + f"""SELECT * FROM (SELECT CAST(file AS VARCHAR) AS name, CASE file % 2 WHEN 0 THEN '49492A0008000000' ELSE '4D4D002A00000008' END AS head, TRUE AS is_tiff
+    FROM lines UNION ALL SELECT 'p' || page_id || 'x', upper(hex(substr(html, 1, 8))), FALSE FROM pages WHERE page_id % 50 = 3)""")
+def magic(spark, sf):
+    """Rasters of both byte orders, and pages that only have the name."""
+    paths = files_of(spark, sf).agg(F.first("path")).first()[0]
+    root = paths.rsplit("/", 1)[0]
+    return listing.headers(spark, root, 8).select(F.regexp_extract("path", r"([^/]+)\.tif$", 1).alias("name"), "head", "is_tiff")
+
+
+@query("q05_describe_levels", S + ", " + FILE_SQL + """SELECT CAST(file AS INT) AS file, file % 3 > 0 AS is_cog_b, FALSE AS is_cog_a, 2 AS levels, [2, 4] AS factors FROM lines""")
+def described(spark, sf):
+    """Files in tiles with overviews pass the second test, those in strips do not; blocks of 16 cells fail the first."""
+    df = inventory.describe(files_of(spark, sf)).filter("success")
+    return df.select(number().alias("file"), "is_cog_b", "is_cog_a", F.size(c("bands")[0]["overviews"]).alias("levels"), c("bands")[0]["overviews"].alias("factors"))
+
+
+@query("q06_batch_mixed", S + ", " + FILE_SQL + f"SELECT success, COUNT(*) AS files FROM (SELECT TRUE AS success FROM lines UNION ALL SELECT FALSE FROM ({BAD_SQL})) GROUP BY success")
+def batch_mixed(spark, sf):
+    return inventory.describe(files_of(spark, sf)).groupBy("success").agg(F.count(F.lit(1)).alias("files"))
+
+
 def number(path="path"):
     return F.regexp_extract(path, r"(\d+)\.tif$", 1).cast("int")
 
@@ -196,3 +224,55 @@ def vegetation_of_files(spark, sf):
     out = workflows.vegetation_of_grids(imagery, heights, 16, 3.5)
     px = tiles.to_pixels(out.select("scene", "tx", "ty", F.lit(16).alias("w"), c("data").alias("v")), ["v"], 16).filter("v IS NOT NULL")
     return px.select(number("scene").alias("file"), "x", "y", c("v").cast("int").alias("vegetation"))
+
+
+# ---- a transform per scene ------------------------------------------------
+
+def tables_of_files(spark, sf):
+    return rasters.to_tiles(rasters.blocks(files_of(spark, sf)), fx.BANDS[:4], 16)
+
+
+@query("w07_scenes", S + ", " + FILE_SQL + f"""SELECT CAST(file AS INT) AS file, x, CAST(fy AS INT) AS y, CAST(red AS FLOAT) AS red FROM f
+    WHERE 1000000.0 + (x + 0.5) * res BETWEEN {BOX[0]} AND {BOX[2]} AND top - (fy + 0.5) * res BETWEEN {BOX[1]} AND {BOX[3]}""")
+def window_of_scenes(spark, sf):
+    """A tile table of scenes on different grids: each has its own transform."""
+    px = spatial.clip_tiles_world(tables_of_files(spark, sf), ["red"], 16, BOX)
+    return px.filter("red IS NOT NULL").select(number("scene").alias("file"), "x", "y", "red")
+
+
+@query("z13_scenes", S + ", " + FILE_SQL + "SELECT CAST(file AS INT) AS file, x, CAST(fy AS INT) AS y, 1000000.0::DOUBLE + (x + 0.5) * res AS world_x, top - (fy + 0.5) * res AS world_y FROM f")
+def world_of_scenes(spark, sf):
+    px = tiles.to_pixels(tables_of_files(spark, sf).select("scene", "tx", "ty", "w", "transform", "red"), ["red"], 16)
+    return resample.world_of_scene(px.filter("red IS NOT NULL")).select(number("scene").alias("file"), "x", "y", "world_x", "world_y")
+
+
+@query("k04_scenes", S + ", " + FILE_SQL + """SELECT CAST(file AS INT) AS file, band, 'EPSG:2193' AS crs, res, top, SUM(v)::BIGINT AS total
+    FROM (SELECT file, res, top, 'red' AS band, red AS v FROM f UNION ALL SELECT file, res, top, 'nir', nir FROM f) GROUP BY ALL""")
+def saved_scenes(spark, sf):
+    """Tiles are saved with the crs and the transform of their scene."""
+    root = folder(spark)
+    long = tiles.by_band(tables_of_files(spark, sf).select("scene", "tx", "ty", "w", "h", "transform", "red", "nir"), ["red", "nir"])
+    sinks.tiles(long, root, F.lit("EPSG:2193"))
+    back = spark.read.parquet(root)
+    total = F.aggregate("data", F.lit(0).cast("long"), lambda a, v: a + F.when(F.isnan(v), 0).otherwise(v.cast("long")))
+    return back.groupBy(number("scene").alias("file"), "band", "crs", c("transform")[1].alias("res"), c("transform")[3].alias("top")).agg(F.sum(total).alias("total"))
+
+
+@query("a11_changed_tiles", S + """SELECT COUNT(*) FILTER (a <> b)::BIGINT AS changed, COUNT(*)::BIGINT AS cells, ROUND(COUNT(*) FILTER (a <> b) * 100.0::DOUBLE / COUNT(*), 6) AS changed_pct
+    FROM (SELECT FLOOR(red / 64) AS a, FLOOR(nir / 64) AS b FROM scene)""")
+def changed_tiles(spark, sf):
+    t = fx.tiles(spark, sf)
+    one, two = (t.select("scene", "tx", "ty", F.transform(b, lambda v: F.floor(v / 64)).alias("class")) for b in ("red", "nir"))
+    return algebra.changed_tiles(one, two).select("changed", "cells", six("changed_pct").alias("changed_pct"))
+
+
+@query("r11_hsv_unit", S.replace("scene AS (", "whole AS (").rstrip() + """,
+    b AS (SELECT x, y, FLOOR(red / 256 * 255) AS r, FLOOR(green / 256 * 255) AS g, FLOOR(blue / 256 * 255) AS b FROM whole),
+    t AS (SELECT *, GREATEST(r, g, b) AS top, GREATEST(r, g, b) - LEAST(r, g, b) AS span FROM b),
+    d AS (SELECT *, CASE WHEN span = 0 THEN 0 WHEN top = r THEN 60 * (g - b) / span WHEN top = g THEN 120 + 60 * (b - r) / span ELSE 240 + 60 * (r - g) / span END AS deg FROM t)
+    SELECT x, y, CAST(ROUND(CASE WHEN deg < 0 THEN deg + 360 ELSE deg END / 2) AS INT) % 180 AS hue,
+    CAST(CASE WHEN top = 0 THEN 0 ELSE ROUND(255 * span / top) END AS INT) AS saturation, CAST(top AS INT) AS value FROM d""")
+def hsv_unit(spark, sf):
+    """The pixel form on a scene with values up to 1."""
+    px = fx.scene(spark, sf).withColumns({b: c(b) / 256 for b in ("red", "green", "blue")})
+    return algebra.hsv(px).select("x", "y", "hue", "saturation", "value")
