@@ -107,7 +107,7 @@ class Numbers:
         if self.held > REMEMBERED:
             self.known, self.older, self.held = {}, self.known, 0
         known, older = self.known.setdefault(lang, {b".": END}), self.older.get(lang, {})
-        new = set(words) - known.keys()
+        new = [w for w in set(words) if w not in known]
         for word in new:
             number = older.get(word)
             known[word] = self._number(lang, word) if number is None else number
