@@ -28,7 +28,8 @@ NEXT = {"none": ("system", "user"), "system": ("user",), "user": ("assistant",),
 CLOSING = {"none": (), "system": ("user", "assistant"), "user": ("assistant",), "assistant": ()}
 RELABEL, UNKNOWN, MERGE, INSERT = 4, 2, 1, 5
 BLOCK = 4096
-LAST = (1 << 62)
+#: The place of rows without a turn, and the first of their parts.
+LAST, LOOSE = (1 << 63) - 1, 1 << 62
 OPEN, CLOSE, BETWEEN = "<|im_start|>", "<|im_end|>", "\n\n"
 
 
@@ -150,7 +151,8 @@ def _chained(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["_conv", "_none", "_block", "before", "after", "last"])
 
 
-REPAIRED = "conv_id long, turn long, role string, new_role string, action string, inserted string, cost int, rendered string"
+REPAIRED = ("conv_id long, turn long, role string, new_role string, action string, inserted string, cost int, rendered string, "
+            "part long, place int")
 
 
 def _rendered(frame: pd.DataFrame, ways: pd.DataFrame) -> pd.DataFrame:
@@ -161,34 +163,48 @@ def _rendered(frame: pd.DataFrame, ways: pd.DataFrame) -> pd.DataFrame:
         part = _ordered(part)
         told = pieces(part.role.tolist(), part.text.tolist(), *plan[key])
         turns = [None if a == LAST else a for a in part._at]
-        out += [(None if key[1] else key[0], turn, role, *x) for turn, role, x in zip(turns, part.role, told)]
-    return pd.DataFrame(out, columns=["conv_id", "turn", "role", "new_role", "action", "inserted", "cost", "rendered"]).astype({"conv_id": "Int64", "turn": "Int64"})
+        out += [(None if key[1] else key[0], turn, role, *x, key[2], place) for place, (turn, role, x) in enumerate(zip(turns, part.role, told))]
+    # Ids as objects: next to a null one they would become floating.
+    frame = pd.DataFrame(out, columns=["conv_id", "turn", "role", "new_role", "action", "inserted", "cost", "rendered", "part", "place"])
+    for name, at in (("conv_id", 0), ("turn", 1)):
+        frame[name] = pd.array([row[at] for row in out], dtype="Int64")
+    return frame
 
 
 def repaired(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", block: int = BLOCK) -> DataFrame:
     """Each turn with its new role, what was done and its rendered piece.
 
-    The pieces of a conversation, in the order of (turn, role, text) with nulls
-    last, are its rendered text; empty turns that were put in stand in the piece
-    of the turn after them, those at the end in the last piece.  Roles other
+    The pieces of a conversation, in the order of (part, place), are its rendered
+    text: that is the order of (turn, role, text) with nulls last, and rows without
+    a turn come behind, in an order that a hash of role and text gives, so that
+    any number of them is spread over parts.  Empty turns that were put in stand
+    in the piece of the turn after them, those at the end in the last piece.  Roles other
     than system, user and assistant, and null, are unknown and cheap to
-    relabel.  A null text is empty, rows without a conversation form one, rows
-    without a turn come last, repeated rows are turns of their own (and merge).
-    Extra columns are not read.  A block holds ``block`` consecutive turn numbers.
+    relabel.  A null text is empty, rows without a conversation form one,
+    repeated rows are turns of their own (and merge).  Extra columns are not
+    read.  A part holds ``block`` (two or more) consecutive turn numbers, or as
+    many copies of a row without a turn.
     """
     spark = turns.sparkSession
-    at = F.coalesce(F.col(turn).cast("long"), F.lit(LAST))
-    rows = turns.select(
+    at = F.col(turn).cast("long")
+    named = turns.select(
         F.coalesce(F.col(conv_id).cast("long"), F.lit(0)).alias("_conv"), F.col(conv_id).isNull().alias("_none"), at.alias("_at"),
-        F.floor(at / F.lit(block)).cast("long").alias("_block"),
         F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
+    turned = named.filter(F.col("_at").isNotNull()).withColumn("_block", F.floor(F.col("_at") / F.lit(block)).cast("long"))
+    # Equal rows without a turn are counted before they move, then dealt to parts again.
+    loose = named.filter(F.col("_at").isNull()).groupBy("_conv", "_none", "role", "text").agg(F.count(F.lit(1)).alias("_n"))
+    mixed = F.shiftrightunsigned(F.xxhash64("role", "text"), 48)
+    loose = loose.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).select(
+        "_conv", "_none", F.lit(LAST).cast("long").alias("_at"), "role", "text",
+        (F.lit(LOOSE).cast("long") + mixed * (1 << 30) + F.floor(F.col("_k") / block)).cast("long").alias("_block"))
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(turns.count() / 20_000))
     share = F.pmod(F.xxhash64("_conv", "_none", "_block"), F.lit(tasks)).cast("int")
-    rows = rows.withColumn("_share", share)
+    # Explicit numbers of partitions: adaptive execution would merge these few bytes into one long task.
+    rows = turned.unionByName(loose).withColumn("_share", share).repartition(tasks, "_share")
     blocks = rows.select("_share", "_conv", "_none", "_block", "_at", "role", F.lit("").alias("text")).groupBy("_share").applyInPandas(
         _matrices, "_conv long, _none boolean, _block long, m array<double>")
     ways = saved(
-        blocks.withColumn("_share", F.pmod(F.xxhash64("_conv", "_none"), F.lit(tasks)).cast("int")).groupBy("_share").applyInPandas(
-            _chained, "_conv long, _none boolean, _block long, before string, after string, last boolean"), "ways").withColumn("_share", share)
+        blocks.withColumn("_share", F.pmod(F.xxhash64("_conv", "_none"), F.lit(tasks)).cast("int")).repartition(tasks, "_share").groupBy("_share").applyInPandas(
+            _chained, "_conv long, _none boolean, _block long, before string, after string, last boolean"), "ways").withColumn("_share", share).repartition(tasks, "_share")
     return rows.groupBy("_share").cogroup(ways.groupBy("_share")).applyInPandas(_rendered, REPAIRED)
 
