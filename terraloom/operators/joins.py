@@ -38,30 +38,41 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = 100_000) -> DataFrame:
     """Keys with ``min_rows`` rows and more than ``HOT_SHARE`` of all, with a split count.
 
-    At most ``1 / HOT_SHARE`` rows, so the result may be broadcast.
+    Counted once, by one job that leaves the few keys in the shared folder.  At
+    most ``1 / HOT_SHARE`` rows, so the result may be broadcast.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter((F.col("_n") > total * HOT_SHARE) & (F.col("_n") >= min_rows)).select(
-        *keys, F.ceil(F.col("_n") / min_rows).cast("int").alias("_splits")
-    )
+    hot = stored(counts.filter(F.col("_n") >= min_rows), "hot")
+    if hot.count() > 1 / HOT_SHARE:  # only then the total decides
+        hot = hot.filter(F.col("_n") > df.count() * HOT_SHARE)
+    return hot.select(*keys, F.ceil(F.col("_n") / min_rows).cast("int").alias("_splits"))
 
 
-def _salted(df: DataFrame, hot: DataFrame, keys: list[str], spread: Column, name: str) -> DataFrame:
+def _salted(df: DataFrame, hot: DataFrame | None, keys: list[str], spread: Column, name: str) -> DataFrame:
     """Give each row of a hot key one of that key's salts, every other row salt 0."""
     missing = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    if hot is None:
+        return df.withColumn(name, F.when(missing, F.pmod(F.xxhash64(spread), F.lit(1000))).otherwise(0).cast("int"))
     splits = F.when(missing, F.lit(1000)).otherwise(F.col("_splits"))
     return df.join(hot, keys, "left").withColumn(
         name, F.coalesce(F.pmod(F.xxhash64(spread), splits), F.lit(0)).cast("int")
     ).drop("_splits")
 
 
-def _repeated(df: DataFrame, hot: DataFrame, keys: list[str], name: str) -> DataFrame:
+def _repeated(df: DataFrame, hot: DataFrame | None, keys: list[str], name: str) -> DataFrame:
     """Repeat each row once per salt of its key."""
+    if hot is None:
+        return df.withColumn(name, F.lit(0))
     salts = F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1)
     return df.join(hot, keys, "left").withColumn(name, F.explode(salts)).drop("_splits")
 
 
+def _hot(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame | None:
+    """Hot keys ready to be broadcast, or None where there are none: the plan then has no joins for them."""
+    hot = hot_keys(df, keys, min_rows)
+    return None if hot.isEmpty() else F.broadcast(hot)
+
+
 def split_hot(left: DataFrame, right: DataFrame, keys: list[str], left_spread: Column,
               right_spread: Column | None = None,
               min_rows: int = 100_000) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -74,11 +85,11 @@ def split_hot(left: DataFrame, right: DataFrame, keys: list[str], left_spread: C
     are spread as well.  Join on the returned keys and drop ``_salt`` and
     ``_salt2``; the result equals the plain join.
     """
-    hot = F.broadcast(hot_keys(left, keys, min_rows))
+    hot = _hot(left, keys, min_rows)
     salted, on = _salted(left, hot, keys, left_spread, "_salt"), [*keys, "_salt"]
     repeated = _repeated(right, hot, keys, "_salt")
     if right_spread is not None:
-        hot = F.broadcast(hot_keys(right, keys, min_rows))
+        hot = _hot(right, keys, min_rows)
         repeated = _salted(repeated, hot, keys, right_spread, "_salt2")
         salted, on = _repeated(salted, hot, keys, "_salt2"), [*on, "_salt2"]
     return salted, repeated, on

@@ -67,11 +67,11 @@ def magic(spark, sf):
     return listing.headers(spark, root, 8).select(F.regexp_extract("path", r"([^/]+)\.tif$", 1).alias("name"), "head", "is_tiff")
 
 
-@query("q05_describe_levels", S + ", " + FILE_SQL + """SELECT CAST(file AS INT) AS file, file % 3 > 0 AS is_cog_b, FALSE AS is_cog_a, 2 AS levels, [2, 4] AS factors FROM lines""")
+@query("q05_describe_levels", S + ", " + FILE_SQL + """SELECT CAST(file AS INT) AS file, file % 3 > 0 AS is_cog_b, FALSE AS is_cog_a, 2 AS levels, '2,4' AS factors FROM lines""")
 def described(spark, sf):
     """Files in tiles with overviews pass the second test, those in strips do not; blocks of 16 cells fail the first."""
     df = inventory.describe(files_of(spark, sf)).filter("success")
-    return df.select(number().alias("file"), "is_cog_b", "is_cog_a", F.size(c("bands")[0]["overviews"]).alias("levels"), c("bands")[0]["overviews"].alias("factors"))
+    return df.select(number().alias("file"), "is_cog_b", "is_cog_a", F.size(c("bands")[0]["overviews"]).alias("levels"), F.concat_ws(",", c("bands")[0]["overviews"].cast("array<string>")).alias("factors"))
 
 
 @query("q06_batch_mixed", S + ", " + FILE_SQL + f"SELECT success, COUNT(*) AS files FROM (SELECT TRUE AS success FROM lines UNION ALL SELECT FALSE FROM ({BAD_SQL})) GROUP BY success")
