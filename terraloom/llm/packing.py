@@ -16,6 +16,7 @@ that most pieces share is never sorted or gathered.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import struct
@@ -23,8 +24,8 @@ import zlib
 from itertools import combinations_with_replacement
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -33,32 +34,64 @@ from terraloom.llm.common import saved
 WINDOW, UNIT, END_ID = 4096, 64, 2
 #: Words of a generation that a task remembers the ids of.
 REMEMBERED = 200_000
+#: Documents whose new words are learnt together.
+AT_ONCE = 1024
 
 _ASCII_BLANKS = re.compile("[ \t\n\r\x0b\x0c]+")
 
 
+# What a tokenizer file must say for its words to be taken apart here.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PIECE_RUN = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+_END_OF_WORD = "</w>"
+_BEYOND = re.compile("[^\x00-\xff]")
+
+
+def _by_words(spec: dict) -> bool:
+    """Whether a file lower-cases, drops white space and splits words as ``Encoder`` does."""
+    steps, parts, model = (spec.get("normalizer") or {}).get("normalizers"), (spec.get("pre_tokenizer") or {}).get("pretokenizers"), spec["model"]
+    return bool(
+        steps and parts and [n["type"] for n in steps] == ["NFC", "Replace", "Lowercase"]
+        and steps[1]["pattern"] == {"Regex": r"\s+"} and steps[1]["content"] == " "
+        and [p["type"] for p in parts] == ["Split", "ByteLevel"] and parts[0]["pattern"] == {"Regex": _SPLIT}
+        and parts[0]["behavior"] == "Removed" and parts[0]["invert"] and not parts[1]["use_regex"] and not parts[1]["add_prefix_space"]
+        and model["type"] == "BPE" and model.get("end_of_word_suffix") == _END_OF_WORD and not model.get("dropout")
+        and not model.get("continuing_subword_prefix") and not spec.get("post_processor")
+        and all(a["special"] and not a["normalized"] and not a["lstrip"] and not a["rstrip"] and "<|" in a["content"] and a["content"].islower() for a in spec["added_tokens"]))
+
+
 class Encoder:
-    """Token ids of texts, word by word: the tokenizer drops white space and never joins across it.
+    """Token ids of texts.
 
-    Words met lately are remembered in two generations, so that frequent ones
-    stay and memory is bounded.
+    A file that lower-cases, drops white space and never joins across it (see
+    ``_by_words``, checked when it is opened) is used word by word: words met
+    lately, and the pieces that they are made of, are remembered in two
+    generations, so that frequent ones stay and memory is bounded.  With any
+    other file whole texts go through the tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
+        with open(path, encoding="utf-8") as file:
+            self.by_words = _by_words(json.load(file))
         self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
-        self.model = self.tokenizer.model
-        # Byte-level vocabularies spell a byte as a printable character: 128 to 160 and 173 come after 288.
-        spelt = {b: chr(b) for b in range(161, 256) if b != 173}
-        spelt |= {b: chr(289 + i) for i, b in enumerate([*range(127, 161), 173])}
-        self.letters = {c: "".join(spelt[b] for b in chr(c).encode()) for c in range(170, 256)}
-        self.marks = {c: self._packed(self.tokenizer.encode(c, add_special_tokens=False).ids) if c else b"" for c in ("", *".,!?;:")}
-
-    @staticmethod
-    def _packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        if not self.by_words:
+            return
+        # The same model without its rules for text: pieces go in as they are spelt, many in one string.
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = WhitespaceSplit()
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith(_END_OF_WORD)]] = True
+        # Byte-level vocabularies spell a byte as a printable character: those without one come from 256 on.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        spelt = {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(x for x in range(256) if x not in printable)}
+        self.letters = {c: "".join(spelt[b] for b in chr(c).encode()) for c in range(256) if c != 32}
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -67,32 +100,73 @@ class Encoder:
             return [w for w in _ASCII_BLANKS.split(text) if w]
         return text.split()
 
-    def _learn(self, words: set[str]) -> None:
-        """Ids of new words.  Letters of western scripts, with one mark after them or none, are a
-        piece (or two) for the model as they are; all others go through the whole tokenizer."""
-        rest, known, older = [], self.known, self.older
+    def _learn(self, words: set[str], western: bool) -> None:
+        """Ids of new words, lower-cased western ones or any.
+
+        Western letters, digits and marks are pieces for the model as the split
+        pattern cuts them, and a piece is a word too, with the same ids; words with
+        apostrophes, which may be cut otherwise, added tokens or other scripts go
+        through the whole tokenizer.
+        """
+        known, older, new, cut, rest = self.known, self.older, set(), [], []
         for word in words:
             ids = older.get(word)
-            if ids is None and max(word) <= "\xff":
+            if ids is not None:
+                known[word] = ids
+                continue
+            low = word
+            if not western:
                 low = word.lower()
-                base, mark = (low[:-1], low[-1]) if low[-1] in ".,!?;:" else (low, "")
-                if base.isalpha():
-                    ids = self._packed([t.id for t in self.model.tokenize(base.translate(self.letters))]) + self.marks[mark]
-            if ids is None:
-                rest.append(word)
+                if not low.isascii() and max(low) > "\xff":
+                    rest.append(word)
+                    continue
+            if low.isalpha():
+                if western:
+                    new.add(word)
+                else:
+                    cut.append((word, (low,)))
+            elif low[-1] in ".,!?;:" and low[:-1].isalpha():
+                cut.append((word, (low[:-1], low[-1])))
+            elif "'" not in low and "<|" not in low and len(word) < 1000:
+                cut.append((word, _PIECE_RUN.findall(low)))
             else:
-                known[word] = ids
-        for word, got in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            known[word] = self._packed(got.ids)
+                rest.append(word)
+        for _, pieces in cut:
+            for piece in pieces:
+                if piece not in known:
+                    ids = older.get(piece)
+                    if ids is None:
+                        new.add(piece)
+                    else:
+                        known[piece] = ids
+        if new:  # all in one string, parted again where the model ends a word
+            order = list(new)
+            got = np.array(self.bare.encode_batch_fast([" ".join(order).translate(self.letters)], add_special_tokens=False)[0].ids, "<u4")
+            ends, raw = (4 * (np.flatnonzero(self.ends[got]) + 1)).tolist(), got.tobytes()
+            known.update((piece, raw[start:end]) for piece, start, end in zip(order, [0, *ends], ends))
+        known.update([(word, b"".join([known[p] for p in pieces])) for word, pieces in cut])
+        for word, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
+            known[word] = struct.pack(f"<{len(got.ids)}I", *got.ids)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [self.words(t) for t in texts]
+        if not self.by_words:
+            return [np.array(g.ids, "<u4").tobytes() for g in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        self._learn(set().union(*split) - self.known.keys())
-        find = self.known.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+        western = ["<|" not in t and not _BEYOND.search(t) for t in texts]
+        # Lower-casing is the same letter by letter there, and fewer words differ afterwards.
+        split = [self.words(t.lower() if w else t) for t, w in zip(texts, western)]
+        found = [list(map(self.known.get, words)) for words in split]
+        missing = [[k for k, ids in enumerate(got) if ids is None] if None in got else [] for got in found]
+        for kind in (True, False):
+            new = {words[k] for words, places, w in zip(split, missing, western) if w is kind for k in places}
+            if new:
+                self._learn(new, kind)
+        for words, got, places in zip(split, found, missing):
+            for k in places:
+                got[k] = self.known[words[k]]
+        return [b"".join(got) for got in found]
 
 
 @functools.lru_cache(maxsize=2)
@@ -116,10 +190,10 @@ def _tokenized(path: str, window: int, unit: int):
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             docs, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(docs), 256):
+            for at in range(0, len(docs), AT_ONCE):
                 rows = []
-                some = [t or "" for t in texts.slice(at, 256).to_pylist()]
-                for doc, ids in zip(docs[at: at + 256], encoder.ids(some)):
+                some = [t or "" for t in texts.slice(at, AT_ONCE).to_pylist()]
+                for doc, ids in zip(docs[at: at + AT_ONCE], encoder.ids(some)):
                     ids += end
                     total, start = len(ids) // 4, 0
                     while start < total:
@@ -228,14 +302,15 @@ def plan(histogram: list[int], units: int, unit: int, depth: int = 3):
 
 
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+_PACKED = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
 def _placed(places: dict[int, np.ndarray], rooms: np.ndarray, window: int):
-    def tails(df: pd.DataFrame, at: np.ndarray):
+    def tails(batch: pa.RecordBatch, at: np.ndarray):
         """Windows and offsets of tails; a tail is cut where its room ends."""
-        out, at, length = [], at.copy(), df.length.to_numpy().copy()
-        skip = np.zeros(len(df), np.int64)
-        rows = np.arange(len(df))
+        out, at, length = [], at.copy(), batch.column("length").to_numpy().copy()
+        skip = np.zeros(len(at), np.int64)
+        rows = np.arange(len(at))
         while len(rows):
             room = rooms[np.searchsorted(rooms[:, 0], at[rows], "right") - 1]
             inside = at[rows] - room[:, 0]
@@ -246,25 +321,26 @@ def _placed(places: dict[int, np.ndarray], rooms: np.ndarray, window: int):
             length[rows] -= take
             rows = rows[length[rows] > 0]
         rows, skip, take, sequence, offset = (np.concatenate(x) for x in zip(*out))
-        body = df._tail.to_numpy()
-        got = df.iloc[rows]
+        body = batch.column("_tail").to_pylist()
         crc = [zlib.crc32(body[r][4 * s: 4 * (s + n)]) for r, s, n in zip(rows, skip, take)]
-        return pd.DataFrame({"doc_id": got.doc_id.array, "start": got.start.to_numpy() + skip, "length": take, "ids_crc32": crc,
-                             "doc_tokens": got.doc_tokens.array, "sequence_id": sequence, "offset": offset})
+        got = batch.take(pa.array(rows))
+        return [got.column("doc_id"), got.column("start").to_numpy() + skip, take, crc, got.column("doc_tokens"), sequence, offset]
 
     def run(batches):
-        for df in batches:
-            df["doc_id"] = df.doc_id.astype("Int64")
-            rank = (df._rank + df._before).to_numpy()
-            for kind, rows in df.groupby("_class").indices.items():
-                part = df.iloc[rows]
+        # Ids stay in Arrow: next to a null one, pandas would make them floating.
+        for batch in batches:
+            rank = batch.column("_rank").to_numpy() + batch.column("_before").to_numpy()
+            kinds = batch.column("_class").to_numpy()
+            for kind in np.unique(kinds).tolist():
+                rows = np.flatnonzero(kinds == kind)
+                part = batch.take(pa.array(rows))
                 if kind == 0:
-                    yield tails(part, rank[rows])
-                    continue
-                p = places[kind]
-                hit = p[np.searchsorted(p[:, 0], rank[rows], "right") - 1]
-                yield part[["doc_id", "start", "length", "ids_crc32", "doc_tokens"]].assign(
-                    sequence_id=hit[:, 1] + rank[rows] - hit[:, 0], offset=hit[:, 2])
+                    columns = tails(part, rank[rows])
+                else:
+                    p = places[kind]
+                    hit = p[np.searchsorted(p[:, 0], rank[rows], "right") - 1]
+                    columns = [*(part.column(n) for n in _PACKED.names[:5]), hit[:, 1] + rank[rows] - hit[:, 0], hit[:, 2]]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns], schema=_PACKED)
 
     return run
 
@@ -274,8 +350,8 @@ def packed(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     """Every token of every document in exactly one piece of one window: doc_id, start, length,
     ids_crc32, doc_tokens, sequence_id, offset.
 
-    ``tokenizer``: path of a tokenizer file, there on every machine, that drops
-    white space; the end id is added to each document.  Null and empty texts are
+    ``tokenizer``: path of a tokenizer file, there on every machine; the end id
+    is added to each document.  Null and empty texts are
     one token, null ids stay null, repeated rows are packed each, an empty table
     gives no rows; extra columns are not read.
     """
@@ -292,4 +368,4 @@ def packed(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     before = sizes.select(
         "_task", "_class",
         F.coalesce(F.sum(F.when(F.col("_class") > 0, F.col("_pieces")).otherwise(F.col("_tokens"))).over(earlier), F.lit(0)).alias("_before"))
-    return pieces.join(before, ["_task", "_class"]).mapInPandas(_placed(places, rooms, window), PACKED)
+    return pieces.join(before, ["_task", "_class"]).mapInArrow(_placed(places, rooms, window), PACKED)

@@ -345,3 +345,84 @@ def test_mixture(spark, odd, empty):
     mixed = mixing.mixed(odd, max_repeats=1.5)
     assert {r.doc_id for r in mixed.collect()} == {r.doc_id for r in odd.collect()} and mixing.mixed(empty).collect() == []
     assert mixing.mixed(odd, max_repeats=1.0).count() == odd.count()
+
+
+# Names, ids and limits
+
+def named_like_results(odd):
+    from pyspark.sql import functions as F
+    from tests.llm.conftest import RESULTS
+    return odd.withColumns({n: F.concat(F.lit(n), F.coalesce(F.length("text"), F.lit(-1))) for n in RESULTS})
+
+
+def test_stages_keep_columns_of_any_name(spark, odd):
+    import corpus_pipeline
+
+    docs = named_like_results(odd)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 15)], "doc_id long, quality int")
+    was = {(r.doc_id, r.text): tuple(r)[5:] for r in docs.collect()}
+    outs = {
+        "quality": quality.kept(docs, labels), "near": partenum.one_of_each(docs), "cleaned": phrases.cleaned(docs, 50),
+        "mixture": mixing.repeated(docs, max_repeats=1.25),
+    }
+    for name, df in outs.items():
+        assert df.columns == docs.columns
+        rows = df.collect()
+        assert rows
+        if name != "cleaned":
+            assert all(was[r.doc_id, r.text] == tuple(r)[5:] for r in rows)
+        else:
+            assert sorted(map(repr, (tuple(r)[5:] for r in rows))) == sorted(map(repr, (tuple(r)[5:] for r in docs.collect())))
+    assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality_rules"
+
+
+def test_results_never_overwrite_columns(odd):
+    docs = named_like_results(odd)
+    for call in (lambda: mixing.mixed(docs), lambda: phrases.deduplicated(docs, 50), lambda: quality.judged(docs, docs)):
+        with pytest.raises(ValueError, match="names of results"):
+            call()
+
+
+@pytest.mark.parametrize("length", [0, 27, 84, 100])
+def test_length_limits(odd, length):
+    with pytest.raises(ValueError, match="length"):
+        phrases.deduplicated(odd, length)
+
+
+def test_large_ids_next_to_null_ones(spark):
+    big = (1 << 53) + 1
+    df = table(spark, [(big, "one two three " * 30), (None, "four five"), (big + 2, None), (-big, "six")]).coalesce(1)
+    assert {r.doc_id for r in packing.packed(df, tokenizer()).collect()} == {big, None, big + 2, -big}
+    assert {r.doc_id for r in sharding.by_bytes(df, 2).collect()} == {big, None, big + 2, -big}
+
+
+def test_whole_tokenizer_where_words_do_not_stand_alone(spark, odd):
+    """A file with other rules for text goes through its tokenizer as it is."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer("byte_bpe_50k.json")
+    encoder, whole = packing.Encoder(path), Tokenizer.from_file(path)
+    assert not encoder.by_words and packing.Encoder(tokenizer()).by_words
+    texts = [r.text or "" for r in odd.select("text").collect()]
+    assert [np.frombuffer(i, "<u4").tolist() for i in encoder.ids(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_word_encoder_equals_the_tokenizer(seed):
+    from tokenizers import Tokenizer
+
+    rng, encoder, whole = random.Random(seed), packing.Encoder(tokenizer()), Tokenizer.from_file(tokenizer())
+    parts = ["a", "B", "é", "ß", "12", "½", "'s", "'", "!?", ".", "),", "<|", "<|endoftext|>", "<|EndOfText|>", " ", "\n", "\x1c", "\x85", "\xa0", "İ", "中", "ſ", "µ", "ÿ",
+             "\x00", "\x7f", "-", "É", "́", "x" * 70]
+    for _ in range(800):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert np.frombuffer(encoder.ids([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_rows_without_ids_are_spread(spark):
+    """No chunk of the joins holds all of them."""
+    rng = random.Random(9)
+    df = table(spark, [(None, prose(rng, 300)) for _ in range(400)] + [(i, prose(rng, 20)) for i in range(50)])
+    got = partenum.joined(df)
+    assert got.filter("doc_id IS NULL AND component_id IS NULL AND n_shingles > 0").count() == 400
+    assert phrases.deduplicated(df, 50).filter("doc_id IS NULL AND _n_removed = 0").count() == 400
