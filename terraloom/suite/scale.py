@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from terraloom.functions import indices, tilemath
-from terraloom.operators import algebra, focal, halo, resample, stats, tiles
+from terraloom.operators import algebra, focal, halo, regrid, resample, sketches, stats, tiles, zones
 from terraloom.plans import workflows
 from terraloom.session import shared_folder, ship
 from terraloom.suite import fixtures as fx
@@ -55,6 +55,14 @@ def jobs(pixels, wide):
         "z05_clean_classes pixels": focal.clean_classes(algebra.landcover(algebra.ndsm(algebra.ndvi(pixels))).select("scene", "x", "y", "class")),
         "z05_clean_classes tiles": halo.clean_classes(classes, TILE),
         "z06_fill_holes tiles": halo.fill_holes(mask, TILE),
+        "z08_resize pixels": resample.to_grid(pixels, ["dsm"], 1.5, 1.5, 10**6, 10**6),
+        "z08_resize tiles": regrid.resize(wide, ["dsm"], TILE, 1.5, 1.5, 10**6, 10**6),
+        "z09_average tiles": regrid.resize(wide, ["dsm"], TILE, 2.5, 2.5, 10**6, 10**6, "average"),
+        "z10_pyramid tiles, 4 levels": regrid.pyramid(wide, ["red", "nir"], TILE, [2, 4, 8, 16], 10**6, 10**6),
+        "x03_landcover pixels": workflows.landcover(pixels),
+        "x03_landcover tiles": workflows.landcover_tiles(wide, TILE),
+        "a14_sketch tiles": sketches.merge(wide.select("scene", sketches.sketch("dsm").alias("sketch")), ["scene"]),
+        "zone columns, 4 bands": zones.zoned(wide, ["red", "green", "blue", "nir"]).select("scene", "red_low", "nir_high"),
         "z10_overview pixels": resample.overview(pixels, ["red", "nir"], 4, size=(10**6, 10**6)),
         "x01_vegetation pixels": workflows.vegetation(pixels),
         "x01_vegetation tiles": workflows.vegetation_tiles(wide, TILE),
