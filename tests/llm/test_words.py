@@ -36,18 +36,20 @@ PIECES = ["a", "aaaa", "ab", " ", "  ", "\n", "'", "'s", "'re", "'ll", "x1", "12
 def test_tree_gives_the_tokenizers_ids(encoder, monkeypatch, seed):
     rng = random.Random(seed)
     monkeypatch.setattr(treebpe, "UNSPLIT", 8 if seed % 2 else 256)
+    monkeypatch.setattr(treebpe, "EDGE", 16 if seed % 4 > 1 else 1024)
+    monkeypatch.setattr(treebpe, "EDGES", 4 if seed % 4 > 1 else 32)
     for _ in range(60):
         some = rng.sample(PIECES, rng.choice([1, 2, 3, len(PIECES)]))
         text = "".join(rng.choice(some) for _ in range(rng.choice([3, 20, 60, 300])))
         want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
-        whole = encoder.tree([encoder.part(t) for t in encoder.cuts(text, rng.choice([1, 3, 17, 64]) if len(text) < 300 else 40)])
-        assert whole.text == text and whole.ids.tolist() == want
+        whole = encoder.tree(encoder.parts(encoder.cuts(text, rng.choice([1, 3, 17, 64]) if len(text) < 300 else 40)))
+        assert whole.length == len(text) and whole.ids.tolist() == want
         assert encoder.text(want) == text
 
 
 @pytest.mark.parametrize("text", ["a" * 30_000, " " * 20_000, "abcdefgh" * 3000, "ab'" * 9000, "中" * 9000])
 def test_long_unsplit_text(encoder, text):
-    whole = encoder.tree([encoder.part(t) for t in encoder.cuts(text, 1000)])
+    whole = encoder.tree(encoder.parts(encoder.cuts(text, 1000)))
     assert whole.ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -61,7 +63,7 @@ def test_decoding_is_the_tokenizers(encoder):
 def test_windows_stay_small(encoder, monkeypatch):
     """Only windows round the joins are encoded anew, not the sides."""
     text = prose(random.Random(2), 20_000)
-    parts = [encoder.part(t) for t in encoder.cuts(text, 4000)]
+    parts = encoder.parts(encoder.cuts(text, 4000))
     seen, real = [], encoder.pretokens
     monkeypatch.setattr(encoder, "pretokens", lambda t: seen.append(len(t)) or real(t))
     assert encoder.tree(parts).ids.tolist() == encoder.tokenizer.encode(text).ids
