@@ -26,6 +26,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -37,6 +38,11 @@ LEAF = 16_384
 UNSPLIT = 256
 #: Chunks of a generation that a worker remembers the ids of, and their greatest length.
 REMEMBERED, SHORT = 200_000, 64
+#: Boundaries kept at each end of a part, and characters of text there.
+EDGES, EDGE = 32, 1024
+MARKS = frozenset(".,!?;:")
+#: Texts whose new chunks are learnt together.
+AT_ONCE = 1024
 #: Characters that the pre-token pattern can look ahead.
 AHEAD = 3
 
@@ -46,13 +52,26 @@ SPACE = " \t\n\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 _CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
 
+# Fixed value: the pre-token pattern of byte-level files.
+_PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_BEYOND = re.compile("[^\x00-\xff]")
+
+
 class Part:
-    """An encoded stretch of text: ids, known pre-token boundaries (characters) and the token number at each."""
+    """An encoded stretch of text: its ids, and pre-token boundaries near both ends.
+
+    ``bounds`` are places (characters), ``at`` the token numbers there; the first
+    and the last EDGES of them are kept.  ``head`` and ``tail`` are the text as far
+    as joins may need it: all of it, or stretches at the ends with so many sure
+    boundaries that a window closes inside.
+    """
 
-    __slots__ = ("text", "ids", "bounds", "at")
+    __slots__ = ("length", "head", "tail", "ids", "bounds", "at")
 
-    def __init__(self, text: str, ids: np.ndarray, bounds: np.ndarray, at: np.ndarray):
-        self.text, self.ids, self.bounds, self.at = text, ids, bounds, at
+    def __init__(self, length: int, head: str, tail: str, ids: np.ndarray, bounds: np.ndarray, at: np.ndarray):
+        if len(bounds) > 2 * EDGES:
+            bounds, at = (np.concatenate([x[:EDGES], x[-EDGES:]]) for x in (bounds, at))
+        self.length, self.head, self.tail, self.ids, self.bounds, self.at = length, head, tail, ids, bounds, at
 
 
 class Encoder:
@@ -61,55 +80,103 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        pre, added = spec["pre_tokenizer"] or {}, spec["added_tokens"]
-        plain = (spec["model"]["type"] == "BPE" and not spec["normalizer"] and not spec["model"].get("dropout")
+        pre, added, model = spec["pre_tokenizer"] or {}, spec["added_tokens"], spec["model"]
+        plain = (model["type"] == "BPE" and not spec["normalizer"] and not spec["post_processor"] and not model.get("dropout")
+                 and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix") and not model.get("ignore_merges")
                  and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-                 and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or re.search(f"[{SPACE}]", a["content"]) for a in added))
+                 and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or re.search(f"[{SPACE}]", a["content"])
+                         or a["content"].strip("".join(MARKS)).isalpha() for a in added))
         if not plain:
             raise ValueError(f"{path}: not a plain byte-level BPE file")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model, self.pre = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        # The same model without its rules for text: pre-tokens go in as they are spelt, many in one string.
+        self.bare = Tokenizer(self.model)
+        self.bare.pre_tokenizer = WhitespaceSplit()
         self.special = re.compile("|".join(re.escape(a["content"]) for a in added) or r"(?!)")
         self.known, self.older = {}, {}
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.spelt = [""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.spelt[i] = token
+        self.lengths = np.array([len(s) for s in self.spelt])
         # Byte-level vocabularies spell a byte as a printable character: those without one come from 256 on.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         letters = {b: b for b in printable} | {b: 256 + n for n, b in enumerate(x for x in range(256) if x not in printable)}
         back = {chr(c): b for b, c in letters.items()}
         self.bytes = [bytes(back[c] for c in s) if all(c in back for c in s) else s.encode() for s in self.spelt]
+        self.letters = {c: "".join(chr(letters[b]) for b in chr(c).encode()) for c in range(256)}
+
+    def _western(self, text: str) -> bool:
+        """Whether the pattern can be used here: one byte's worth of characters, no added token."""
+        return not _BEYOND.search(text) and not self.special.search(text)
+
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of new chunks: short ones are remembered, those of long ones returned.
 
-    def _learn(self, chunks: set[str]) -> None:
-        rest = []
+        A chunk of western letters, with a space before or a mark behind, is a
+        pre-token (or two); others are cut by the pattern, and chunks with added
+        tokens or other scripts go through the whole tokenizer.  A pre-token is a
+        chunk too, with the same ids.
+        """
+        known, older, new, cut, rest, once = self.known, self.older, set(), [], [], {}
         for chunk in chunks:
-            ids = self.older.get(chunk)
-            if ids is None:
+            ids = older.get(chunk)
+            if ids is not None:
+                known[chunk] = ids
+                continue
+            if not chunk.isascii() and _BEYOND.search(chunk):
+                rest.append(chunk)
+                continue
+            body = chunk[1:] if chunk[0] == " " else chunk
+            if body.isalpha():
+                new.add(chunk)
+            elif body[-1:] in MARKS and body[:-1].isalpha():
+                cut.append((chunk, (chunk[:-1], chunk[-1])))
+            elif self.special.search(chunk):
                 rest.append(chunk)
             else:
-                self.known[chunk] = ids
-        for chunk, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.known[chunk] = np.array(got.ids, "<i4").tobytes()
+                cut.append((chunk, _PATTERN.findall(chunk)))
+        for _, pieces in cut:
+            for piece in pieces:
+                if piece not in known:
+                    ids = older.get(piece)
+                    if ids is None:
+                        new.add(piece)
+                    else:
+                        known[piece] = ids
+        if new:  # all in one string, parted again by the lengths that their tokens spell
+            order = list(new)
+            spelt = [p.translate(self.letters) for p in order]
+            got = np.array(self.bare.encode_batch_fast([" ".join(spelt)], add_special_tokens=False)[0].ids, "<i4")
+            ends = np.searchsorted(np.cumsum(self.lengths[got]), np.cumsum(list(map(len, spelt))))
+            raw, stops = got.tobytes(), (4 * (ends + 1)).tolist()
+            known.update((piece, raw[start:end]) for piece, start, end in zip(order, [0, *stops], stops))
+        known.update([(chunk, b"".join([known[p] for p in pieces])) for chunk, pieces in cut])
+        for chunk, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
+            known[chunk] = np.array(got.ids, "<i4").tobytes()
+        for chunk in {c for c in (*new, *rest, *(c for c, _ in cut)) if len(c) > SHORT}:
+            once[chunk] = known.pop(chunk)
+        return once
 
     def _ids(self, lists: list[list[str]]) -> list[list[bytes]]:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        chunks = set().union(*lists)
-        once = {c for c in chunks if len(c) > SHORT}
-        self._learn(chunks - once - self.known.keys())
-        if not once:
-            find = self.known.__getitem__
-        else:
-            some = sorted(once)
-            now = {c: np.array(g.ids, "<i4").tobytes() for c, g in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False))}
-            find = lambda c: now[c] if c in now else self.known[c]
-        return [list(map(find, chunks)) for chunks in lists]
+        found = [list(map(self.known.get, chunks)) for chunks in lists]
+        missing = [[k for k, ids in enumerate(got) if ids is None] if None in got else [] for got in found]
+        new = {chunks[k] for chunks, places in zip(lists, missing) for k in places}
+        once = self._learn(new) if new else {}
+        for chunks, got, places in zip(lists, found, missing):
+            for k in places:
+                ids = self.known.get(chunks[k])
+                got[k] = once[chunks[k]] if ids is None else ids
+        return found
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of short texts as little-endian 32-bit numbers."""
@@ -117,6 +184,8 @@ class Encoder:
 
     def pretokens(self, text: str) -> list[str]:
         """The pre-tokens of a text; an added token is one."""
+        if self._western(text):
+            return _PATTERN.findall(text)
         out, at = [], 0
         for hit in [*self.special.finditer(text), None]:
             upto = hit.start() if hit else len(text)
@@ -126,15 +195,23 @@ class Encoder:
                 at = hit.end()
         return out
 
-    def part(self, text: str) -> Part:
-        """A stretch of text encoded on its own."""
-        pieces = []
-        for chunk in _CHUNK.findall(text):
-            pieces += self.pretokens(chunk) if len(chunk) > UNSPLIT else [chunk]
-        got = self._ids([pieces])[0]
-        lengths, counts = [len(p) for p in pieces], [len(g) // 4 for g in got]
+    def parts(self, texts: list[str]) -> list[Part]:
+        """Stretches of text, each encoded on its own."""
+        cut = []
+        for text in texts:
+            chunks = _CHUNK.findall(text)
+            if len(chunks) * UNSPLIT < len(text) or len(max(chunks, key=len, default="")) > UNSPLIT:
+                chunks = [p for c in chunks for p in (self.pretokens(c) if len(c) > UNSPLIT else (c,))]
+            cut.append(chunks)
+        out = []
         start = lambda x: np.cumsum([0, *x], dtype=np.int64)[:-1]
-        return Part(text, np.frombuffer(b"".join(got), "<i4"), start(lengths), start(counts))
+        for text, pieces, got in zip(texts, cut, self._ids(cut)):
+            # With enough sure boundaries in it, the stretch at an end is all that a window there can need.
+            edges = text[:EDGE], text[-EDGE:]
+            if len(text) <= 2 * EDGE or any(len(_CHUNK.findall(e)) < 8 or len(max(_CHUNK.findall(e), key=len)) > EDGE // 4 for e in edges):
+                edges = text, text
+            out.append(Part(len(text), *edges, np.frombuffer(b"".join(got), "<i4"), start(map(len, pieces)), start(len(g) // 4 for g in got)))
+        return out
 
     def spliced(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The encoding of one pre-token from those of two parts of it."""
@@ -151,19 +228,20 @@ class Encoder:
 
     def joined(self, a: Part, b: Part) -> Part:
         """Two neighbouring parts as one."""
-        if not a.text or not b.text:
-            return a if a.text else b
+        if not a.length or not b.length:
+            return a if a.length else b
         # The last boundary of the left side that what follows cannot move; 0 always is one.
-        i = max(int(np.searchsorted(a.bounds, len(a.text) - AHEAD, "right")) - 1, 0)
-        s, tail = int(a.bounds[i]), len(a.text) - int(a.bounds[i])
+        i = max(int(np.searchsorted(a.bounds, a.length - AHEAD, "right")) - 1, 0)
+        s, tail = int(a.bounds[i]), a.length - int(a.bounds[i])
+        left = a.tail[len(a.tail) - tail:]
         reach = max(32, tail)
         while True:
-            reach = min(reach, len(b.text))
-            pieces = self.pretokens(a.text[s:] + b.text[:reach])
+            reach = min(reach, len(b.head))
+            pieces = self.pretokens(left + b.head[:reach])
             ends = np.cumsum([len(p) for p in pieces]) - tail
             # A boundary of the window is settled if the window shows all that the pattern could see behind it.
-            settled = ends[(ends >= 0) & ((ends <= reach - AHEAD) | (reach == len(b.text)))]
-            meet = settled[np.isin(settled, b.bounds) | (settled == len(b.text))]
+            settled = ends[(ends >= 0) & ((ends <= reach - AHEAD) | (reach == b.length))]
+            meet = settled[np.isin(settled, b.bounds) | (settled == b.length)]
             if len(meet):
                 break
             reach *= 2
@@ -177,9 +255,11 @@ class Encoder:
             got = [np.frombuffer(x, "<i4") for x in self._ids([pieces])[0]]
         lengths, counts = [len(x) for x in pieces], [len(g) for g in got]
         first, base = int(a.at[i]), int(a.at[i]) + sum(counts)
-        bounds = [a.bounds[:i], s + np.cumsum([0, *lengths], dtype=np.int64)[:-1], b.bounds[j:] + len(a.text)]
+        bounds = [a.bounds[:i], s + np.cumsum([0, *lengths], dtype=np.int64)[:-1], b.bounds[j:] + a.length]
         at = [a.at[:i], first + np.cumsum([0, *counts], dtype=np.int64)[:-1], b.at[j:] - upto + base]
-        return Part(a.text + b.text, np.concatenate([a.ids[:first], *got, b.ids[upto:]]), np.concatenate(bounds), np.concatenate(at))
+        head = a.head + b.head if len(a.head) == a.length else a.head
+        tail = a.tail + b.tail if len(b.tail) == b.length else b.tail
+        return Part(a.length + b.length, head, tail, np.concatenate([a.ids[:first], *got, b.ids[upto:]]), np.concatenate(bounds), np.concatenate(at))
 
     def cuts(self, text: str, leaf: int) -> list[str]:
         """A text halved until no part is longer than ``leaf``; no cut lies inside an added token."""
@@ -222,8 +302,8 @@ def _short(path: str):
     def run(batches):
         encoder = encoder_for(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                docs, texts = batch.column(0).slice(at, 256), batch.column(1).slice(at, 256)
+            for at in range(0, batch.num_rows, AT_ONCE):
+                docs, texts = batch.column(0).slice(at, AT_ONCE), batch.column(1).slice(at, AT_ONCE)
                 yield pa.RecordBatch.from_arrays([docs, _lists(encoder.ids([t or "" for t in texts.to_pylist()]))], names=["doc_id", "ids"])
 
     return run
@@ -244,16 +324,24 @@ def _halved(path: str, leaf: int):
     return run
 
 
+_PART = "length long, head string, tail string, ids binary, bounds binary, at binary"
+
+
 def _leaves(path: str):
     def run(batches):
         encoder = encoder_for(path)
+        kind = "<u2" if len(encoder.spelt) <= 1 << 16 else "<i4"
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 some = batch.slice(at, 64)
-                parts = [encoder.part(t) for t in some.column("_text").to_pylist()]
-                packed = [pa.array([np.ascontiguousarray(x, t).tobytes() for x in xs], pa.binary()) for t, xs in
-                          (("<i4", [p.ids for p in parts]), ("<i8", [p.bounds for p in parts]), ("<i8", [p.at for p in parts]))]
-                yield pa.RecordBatch.from_arrays([*some.columns, *packed], names=[*some.schema.names, "_ids", "_bounds", "_at"])
+                parts = encoder.parts(some.column("_text").to_pylist())
+                # Text that is all there goes once.
+                columns = [pa.array([p.length for p in parts], pa.int64()), pa.array([p.head for p in parts], pa.string()),
+                           pa.array([None if len(p.tail) == p.length else p.tail for p in parts], pa.string())]
+                columns += [pa.array([x.astype(t).tobytes() for x in xs], pa.binary()) for t, xs in
+                            ((kind, [p.ids for p in parts]), ("<i4", [p.bounds for p in parts]), ("<i4", [p.at for p in parts]))]
+                names = ["doc_id", "_key", "_leaf"]
+                yield pa.RecordBatch.from_arrays([*map(some.column, names), *columns], names=[*names, "length", "head", "tail", "ids", "bounds", "at"])
 
     return run
 
@@ -261,9 +349,11 @@ def _leaves(path: str):
 def _concatenated(path: str):
     def run(table: pa.Table) -> pa.Table:
         encoder = encoder_for(path)
+        kind = "<u2" if len(encoder.spelt) <= 1 << 16 else "<i4"
         rows = sorted(table.to_pylist(), key=lambda r: r["_leaf"])
-        whole = encoder.tree([Part(r["_text"], np.frombuffer(r["_ids"], "<i4"), np.frombuffer(r["_bounds"], "<i8"), np.frombuffer(r["_at"], "<i8"))
-                              for r in rows])
+        read = lambda r, name, t: np.frombuffer(r[name], t).astype(np.int32 if name == "ids" else np.int64)
+        whole = encoder.tree([Part(r["length"], r["head"], r["head"] if r["tail"] is None else r["tail"], read(r, "ids", kind),
+                                   read(r, "bounds", "<i4"), read(r, "at", "<i4")) for r in rows])
         return pa.table({"doc_id": pa.array([rows[0]["doc_id"]], pa.int64()), "ids": _lists([np.ascontiguousarray(whole.ids, "<i4").tobytes()])})
 
     return run
@@ -286,7 +376,7 @@ def encoded(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     # The key of a text comes from its task: written once, so that all its leaves have the same.
     leaves = saved(bare.filter(long).mapInArrow(_halved(tokenizer, leaf), "doc_id long, _key long, _leaf int, _text string"), "leaves")
     parts = leaves.repartition("_key", "_leaf").mapInArrow(
-        _leaves(tokenizer), "doc_id long, _key long, _leaf int, _text string, _ids binary, _bounds binary, _at binary")
+        _leaves(tokenizer), f"doc_id long, _key long, _leaf int, {_PART}")
     return short.unionByName(parts.groupBy("_key").applyInArrow(_concatenated(tokenizer), "doc_id long, ids array<int>"))
 
 
@@ -296,7 +386,10 @@ def _decoded(path: str):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                texts = [None if x is None else encoder.text(x) for x in some.column("ids").to_pylist()]
+                ids = some.column("ids")
+                # Whole arrays: list elements one by one cost more than the decoding.
+                cells, ends, there = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False)
+                texts = [encoder.text(cells[ends[k]:ends[k + 1]].tolist()) if there[k] else None for k in range(len(ids))]
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("ids"), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return run
