@@ -35,7 +35,7 @@ WINDOW, UNIT, END_ID = 4096, 64, 2
 #: Words of a generation that a task remembers the ids of.
 REMEMBERED = 200_000
 #: Documents whose new words are learnt together.
-AT_ONCE = 1024
+AT_ONCE = 256
 
 _ASCII_BLANKS = re.compile("[ \t\n\r\x0b\x0c]+")
 
