@@ -283,7 +283,8 @@ def frequent_phrases(texts: DataFrame, words: DataFrame, seed: int, least: int,
             got = sorted(map(tuple, got))
             splitters = np.array(sorted({got[len(got) * k // ranges] for k in range(1, ranges)}), np.int64)
     routed = texts.mapInArrow(_routed(frequent, seed, longest, splitters, BATCH), "_range int, _rows long, _bytes binary")
-    found = routed.groupBy("_range").applyInArrow(_sorted(frequent, longest, least), "phrase array<long>, f long")
+    # As many tasks as ranges: their number follows the words, and adaptive execution does not merge them.
+    found = routed.repartition(ranges, "_range").groupBy("_range").applyInArrow(_sorted(frequent, longest, least), "phrase array<long>, f long")
     return found.groupBy("phrase").agg(F.sum("f").cast("long").alias("f")).filter(F.col("f") >= least)
 
 
