@@ -1,6 +1,7 @@
 """Zone maps, sketches, composites and several kernels in one exchange."""
 
 import tempfile
+import warnings
 
 import numpy as np
 import pytest
@@ -142,8 +143,8 @@ def test_composites(spark, how, cells):
     got = composite.composite(survey_rows(spark, surveys), ["v", "u"], SIZE, how, cells=cells).collect()
     order = sorted(surveys, key=lambda k: (k[1] is not None, k[1] or 0, k[0]))
     stack = np.stack([surveys[k] for k in order])
-    with np.errstate(all="ignore"), pytest.warns(None) if False else np.testing.suppress_warnings() as quiet:
-        quiet.filter(RuntimeWarning)
+    with np.errstate(all="ignore"), warnings.catch_warnings():
+        warnings.simplefilter("ignore", RuntimeWarning)  # cells that no survey has
         want = {
             "latest": lambda s: np.apply_along_axis(lambda v: v[~np.isnan(v)][-1] if (~np.isnan(v)).any() else np.nan, 0, s),
             "earliest": lambda s: np.apply_along_axis(lambda v: v[~np.isnan(v)][0] if (~np.isnan(v)).any() else np.nan, 0, s),
@@ -203,5 +204,5 @@ def test_many_kernels_equal_one_at_a_time(spark, scenes):
 def test_land_cover_is_one_exchange(spark, scenes, plan_of):
     wide = tiles_of(spark, scenes, SIZE)
     plan = plan_of(workflows.landcover_tiles(wide, SIZE))
-    assert plan.count("FlatMapGroupsInArrow (") == 1 + 0 or plan.count("Exchange hashpartitioning") <= 2
+    assert plan.split("\n\n")[0].count("FlatMapGroupsInArrow") == 1 and plan.split("\n\n")[0].count("Exchange") == 1
     assert {f.name for f in workflows.landcover_tiles(wide, SIZE).schema} == {"scene", "tx", "ty", "ndvi", "ndsm", "class", "cleaned", "slope", "slope_class"}
