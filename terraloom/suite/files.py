@@ -231,15 +231,15 @@ def tile_files(spark, sf):
         for pdf in batches:
             out = []
             for r in pdf.itertuples():
-                data = np.stack([np.asarray(getattr(r, b), dtype=np.uint8).reshape(fx.SIZE, fx.SIZE) for b in bands])
+                data, nodata = tiffs.whole(np.stack([np.asarray(getattr(r, b), dtype=float).reshape(fx.SIZE, fx.SIZE) for b in bands]), "uint8")
                 kind = (r.tx + r.ty) % 4
                 body = tiffs.encode(data, order="<>"[kind % 2], deflate=kind >= 2, tile=16 if kind in (1, 2) else 0,
                                     transform=(1000000.0 + r.tx * 8, 1.0, 5000000.0 - r.ty * 8, 1.0), epsg=2193,
-                                    overview=kind == 3)
+                                    nodata=nodata, overview=kind == 3)
                 out.append((f"{r.ty}/{r.tx}.tif", body))
             yield pd.DataFrame(out, columns=["key", "body"])
 
-    put(fx.tiles(spark, sf).mapInPandas(encode, "key string, body binary"), root)
+    put(fx.stored_tiles(spark, sf).mapInPandas(encode, "key string, body binary"), root)
     return root
 
 
