@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -28,21 +31,21 @@ lines AS (SELECT file, MAX(fy) + 1 AS high FROM f GROUP BY file)
 def files_of(spark, sf, bands=fx.BANDS[:4], dtype="uint8"):
     """The scene as files of three tile rows each: strips, tiles, planes apart and sparse blocks, overviews by 2 and 4."""
     root = folder(spark)
-    strips = fx.tiles(spark, sf).select("tx", "ty", F.floor(c("ty") / ROWS).alias("file"), *bands)
+    strips = fx.stored_tiles(spark, sf).select("tx", "ty", F.floor(c("ty") / ROWS).alias("file"), *bands)
 
     def encode(key, pdf):
         high = (int(pdf.ty.max()) % ROWS + 1) * fx.SIZE
-        data = np.zeros((len(bands), high, WIDE))
+        data = np.full((len(bands), high, WIDE), np.nan)  # tiles that are not there are missing cells
         for r in pdf.itertuples():
             y, x = r.ty % ROWS * fx.SIZE, r.tx * fx.SIZE
             for n, b in enumerate(bands):
-                data[n, y:y + fx.SIZE, x:x + fx.SIZE] = np.reshape(getattr(r, b), (fx.SIZE, fx.SIZE))
-        k, data = int(key[0]), data.astype(dtype)
+                data[n, y:y + fx.SIZE, x:x + fx.SIZE] = np.reshape(np.asarray(getattr(r, b), dtype=float), (fx.SIZE, fx.SIZE))
+        k, (data, nodata) = int(key[0]), tiffs.whole(data, dtype)
         res = 0.5 if k % 2 == 0 else 1.0
         # Every second and fourth cell, whole cells only.
         smaller = [data[:, f // 2::f, f // 2::f][:, :high // f, :WIDE // f] for f in (2, 4)]
         body = tiffs.encode(data, order="<>"[k % 2], deflate=k % 3 > 0, tile=16 if k % 3 else 0, rows_per_strip=5, planar=k % 4 == 1,
-                            transform=(1000000.0, res, 5000000.0 - k * 30, res), epsg=2193, overviews=smaller)
+                            transform=(1000000.0, res, 5000000.0 - k * 30, res), epsg=2193, nodata=nodata, overviews=smaller)
         return pd.DataFrame({"key": [f"{k}.tif"], "body": [body]})
 
     put(strips.groupBy("file").applyInPandas(encode, "key string, body binary"), root)
@@ -90,6 +93,16 @@ def cells(blocks, bands=fx.BANDS[:4]):
     return px.withColumn("file", number("scene")).drop("scene")
 
 
+def places():
+    """Places of the cells of a tile."""
+    return F.sequence(F.lit(0), F.lit(255))
+
+
+def lacks(i, *bands):
+    """Whether a tile has none of the bands at place ``i``."""
+    return functools.reduce(operator.and_, [F.isnan(F.coalesce(F.get(b, i), F.lit(float("nan")))) for b in bands])
+
+
 BOX = (1000003.0, 4999925.5, 1000013.2, 4999999.0)
 
 
@@ -129,8 +142,9 @@ def blocks_to_tiles(spark, sf):
         held = F.zip_with(F.col(band), F.sequence(F.lit(1), F.lit(256)), lambda v, i: F.when(F.isnan(v), 0).otherwise(v.cast("long") * i))
         return F.aggregate(held, F.lit(0).cast("long"), lambda a, v: a + v).alias(band)
 
-    return t.select(number("scene").alias("file"), "tx", "ty", "w", "h", F.size(F.filter("red", lambda v: ~F.isnan(v))).cast("long").alias("cells"),
-                    placed("red"), placed("nir"), c("transform")[1].alias("res"))
+    cells_ = F.size(F.filter(places(), lambda i: ~lacks(i, *fx.BANDS[:4]))).cast("long")
+    return t.select(number("scene").alias("file"), "tx", "ty", "w", "h", cells_.alias("cells"),
+                    placed("red"), placed("nir"), c("transform")[1].alias("res")).filter("cells > 0")
 
 
 # ---- grids that differ ----------------------------------------------------
@@ -220,6 +234,9 @@ def pyramid_levels(spark, sf):
 def vegetation_of_files(spark, sf):
     """Imagery and elevation files of the same areas: blocks, square tiles, overlay, vegetation mask."""
     imagery = rasters.to_tiles(rasters.blocks(files_of(spark, sf)), fx.BANDS[:4], 16)
+    # A cell that has other bands, but not both of the index, is no vegetation: as 0 and 0 it has no index.
+    bare = lambda i: (lacks(i, "red") | lacks(i, "nir")) & ~lacks(i, *fx.BANDS[:4])
+    imagery = imagery.withColumns({b: F.transform(places(), lambda i: F.when(bare(i), F.lit(0.0).cast("float")).otherwise(F.get(b, i))) for b in ("red", "nir")})
     heights = rasters.to_tiles(rasters.blocks(files_of(spark, sf, ["dsm", "dem"], "uint16")), ["dsm", "dem"], 16)
     out = workflows.vegetation_of_grids(imagery, heights, 16, 3.5)
     px = tiles.to_pixels(out.select("scene", "tx", "ty", F.lit(16).alias("w"), c("data").alias("v")), ["v"], 16).filter("v IS NOT NULL")
@@ -236,14 +253,14 @@ def tables_of_files(spark, sf):
     WHERE 1000000.0 + (x + 0.5) * res BETWEEN {BOX[0]} AND {BOX[2]} AND top - (fy + 0.5) * res BETWEEN {BOX[1]} AND {BOX[3]}""")
 def window_of_scenes(spark, sf):
     """A tile table of scenes on different grids: each has its own transform."""
-    px = spatial.clip_tiles_world(tables_of_files(spark, sf), ["red"], 16, BOX)
-    return px.filter("red IS NOT NULL").select(number("scene").alias("file"), "x", "y", "red")
+    px = spatial.clip_tiles_world(tables_of_files(spark, sf), fx.BANDS[:4], 16, BOX)
+    return px.filter(F.coalesce(*fx.BANDS[:4]).isNotNull()).select(number("scene").alias("file"), "x", "y", "red")
 
 
 @query("z13_scenes", S + ", " + FILE_SQL + "SELECT CAST(file AS INT) AS file, x, CAST(fy AS INT) AS y, 1000000.0::DOUBLE + (x + 0.5) * res AS world_x, top - (fy + 0.5) * res AS world_y FROM f")
 def world_of_scenes(spark, sf):
-    px = tiles.to_pixels(tables_of_files(spark, sf).select("scene", "tx", "ty", "w", "transform", "red"), ["red"], 16)
-    return resample.world_of_scene(px.filter("red IS NOT NULL")).select(number("scene").alias("file"), "x", "y", "world_x", "world_y")
+    px = tiles.to_pixels(tables_of_files(spark, sf).select("scene", "tx", "ty", "w", "transform", *fx.BANDS[:4]), fx.BANDS[:4], 16)
+    return resample.world_of_scene(px.filter(F.coalesce(*fx.BANDS[:4]).isNotNull())).select(number("scene").alias("file"), "x", "y", "world_x", "world_y")
 
 
 @query("k04_scenes", S + ", " + FILE_SQL + """SELECT CAST(file AS INT) AS file, band, 'EPSG:2193' AS crs, res, top, SUM(v)::BIGINT AS total
