@@ -1,26 +1,20 @@
 """New, changed and unchanged objects over repeated listings.
 
-Every listing is recorded as a snapshot; a stream reads the snapshots and keeps,
-keyed by path, the size and time last seen.  Each batch writes the objects that
-are new or changed and a new version of the manifest, then switches a pointer
+Every listing is recorded as a snapshot; a stream reads the snapshots.  The
+manifest holds the size and time last seen of every path: each batch is compared
+with it in one shuffle, writes its sightings and a new version, then switches a pointer
 to it, so a reader sees the old manifest or the new one and nothing between.  A
 batch that runs again after a failure writes the same folders again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from terraloom.functions import files
 
 SNAPSHOT = "path string, length bigint, modified timestamp, run bigint"
-SEEN = "length bigint, modified timestamp"
 CHANGE = f"{SNAPSHOT}, status string, old_length bigint"
-NONE = -1  # no length before
 
 
 def record(listing: DataFrame, folder: str, run: int) -> None:
@@ -30,17 +24,18 @@ def record(listing: DataFrame, folder: str, run: int) -> None:
     ).write.mode("overwrite").parquet(f"{folder}/snapshots/{run:09d}")
 
 
-def _told(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Status of each sighting of one path, in the order of the snapshots."""
-    seen = state.get if state.exists else None
-    out = []
-    for row in pd.concat(list(parts)).sort_values("run").itertuples(index=False):
-        now = (int(row.length), row.modified.to_pydatetime())
-        status = "new" if seen is None else "unchanged" if seen == now else "changed"
-        out.append((key[0], now[0], row.modified, row.run, status, NONE if seen is None else seen[0]))
-        seen = now
-    state.update(seen)
-    yield pd.DataFrame(out, columns=["path", "length", "modified", "run", "status", "old_length"])
+def _history(sightings: DataFrame, old: DataFrame) -> DataFrame:
+    """Objects of a manifest (``_own`` false) and the sightings after it, which count as later."""
+    return old.withColumn("_own", F.lit(False)).unionByName(sightings.withColumn("_own", F.lit(True)))
+
+
+def _told(sightings: DataFrame, old: DataFrame) -> DataFrame:
+    """Each sighting with its status against the one before it, that of the manifest first; in the order of the snapshots."""
+    now = F.struct("length", "modified")
+    seen = F.lag(now).over(Window.partitionBy("path").orderBy("_own", "run"))
+    status = F.when(F.col("_seen").isNull(), "new").when(F.col("_seen").eqNullSafe(now), "unchanged").otherwise("changed")
+    return _history(sightings, old).withColumn("_seen", seen).filter("_own").select(
+        "path", "length", "modified", "run", status.alias("status"), F.col("_seen.length").alias("old_length"))
 
 
 def _pointer(folder: str) -> tuple[int, int]:
@@ -71,27 +66,24 @@ def manifest(spark: SparkSession, folder: str, version: int | None = None) -> Da
 
 def advance(spark: SparkSession, folder: str, then=None) -> None:
     """Work through the snapshots not seen yet and stop; ``then(batch)`` is called after each batch is written."""
-    sightings = (
-        spark.readStream.schema(SNAPSHOT).option("recursiveFileLookup", "true").parquet(f"{folder}/snapshots")
-        .groupBy("path").applyInPandasWithState(_told, CHANGE, SEEN, "append", GroupStateTimeout.NoTimeout)
-    )
+    sightings = spark.readStream.schema(SNAPSHOT).option("recursiveFileLookup", "true").parquet(f"{folder}/snapshots")
 
     def keep(batch: DataFrame, number: int) -> None:
         path = f"{folder}/changes/batch={number}"
-        batch.withColumn("old_length", F.nullif("old_length", F.lit(NONE))).write.mode("overwrite").parquet(path)
-        told = spark.read.schema(CHANGE).parquet(path)
         current, before = _pointer(folder)
         base = before if current == number else current  # a batch that runs again starts where it did
-        # Of a path seen in several snapshots of the batch the last sighting counts.
-        last = told.groupBy("path").agg(F.max_by(F.struct("length", "modified", "run"), "run").alias("_l")).select("path", "_l.*")
         old = manifest(spark, folder, base)
-        old.join(last.select("path"), "path", "left_anti").unionByName(last).write.mode("overwrite").parquet(f"{folder}/manifest/{number:09d}")
+        _told(batch, old).write.mode("overwrite").parquet(path)
+        told = spark.read.schema(CHANGE).parquet(path).select(*old.columns)
+        # Of a path seen in several snapshots of the batch the last sighting counts.
+        last = _history(told, old).groupBy("path").agg(F.max_by(F.struct("length", "modified", "run"), F.struct("_own", "run")).alias("_l"))
+        last.select("path", "_l.*").write.mode("overwrite").parquet(f"{folder}/manifest/{number:09d}")
         _switch(folder, number, base)
         if then is not None:
             then(number)
 
     (
-        sightings.writeStream.foreachBatch(keep).outputMode("append").option("checkpointLocation", f"{folder}/checkpoint")
+        sightings.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True).start().awaitTermination()
     )
 

@@ -147,3 +147,14 @@ def test_a_failed_batch_runs_again(spark, fails_at):
     assert got == [("a", 0, "new"), ("a", 1, "changed"), ("b", 0, "new"), ("b", 1, "unchanged")]
     assert {r.path: (r.length, r.run) for r in changes.manifest(spark, root).collect()} == {"a": (1, 1), "b": (1, 1)}
     assert changes.manifest(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp")).count() == 0
+
+
+def test_batches_are_compared_without_python(spark, plan_of):
+    seen = spark.createDataFrame([("a", 1, 10, 0), ("a", 1, 10, 1), ("b", 2, 10, 1)], "path string, length long, t long, run long").select(
+        "path", "length", F.timestamp_seconds("t").alias("modified"), "run")
+    old = seen.filter("path = 'a' AND run = 0").withColumns({"length": F.lit(None).cast("long"), "run": F.lit(-1).cast("long")})
+    told = changes._told(seen, old)
+    assert {(r.path, r.run): (r.status, r.old_length) for r in told.collect()} == {
+        ("a", 0): ("changed", None), ("a", 1): ("unchanged", 1), ("b", 1): ("new", None)}
+    plan = plan_of(told)
+    assert "Pandas" not in plan and "Arrow" not in plan and plan.count("Exchange hashpartitioning") <= 1
