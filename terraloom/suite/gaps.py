@@ -145,4 +145,4 @@ def mixed_sizes(spark, sf):
         "item_id", c("minx").alias("a_minx"), c("miny").alias("a_miny"),
         F.when(large, c("minx") + 40000).otherwise(c("maxx")).alias("a_maxx"), F.when(large, c("miny") + 90000).otherwise(c("maxy")).alias("a_maxy"))
     b = fx.areas(spark, sf).withColumn("b_maxx", F.when(c("b_id") % 50 == 0, c("b_minx") + 60000).otherwise(c("b_maxx")))
-    return spatial.bbox_join(a, b, 400.0).groupBy("b_id").agg(F.count(F.lit(1)).alias("items"))
+    return spatial.bbox_counts(a, b, 400.0, "b_id").withColumnRenamed("n", "items")

@@ -94,3 +94,20 @@ def test_bbox_join_is_an_equi_join(spark, plan_of):
     b, _ = boxes(spark, 10, 2, "b_", (5,))
     text = plan_of(spatial.bbox_join(a, b, 10.0))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("min_rows", [40, 200_000])
+def test_counts_equal_the_join(spark, min_rows):
+    def boxes(rows, prefix, seed):
+        at = [F.floor(F.rand(seed + k) * 60).cast("double") for k in range(2)]
+        side = F.when(F.col("id") % 7 == 0, 50.0).when(F.col("id") % 31 == 3, -2.0).otherwise(F.col("id") % 3)  # points and boxes the wrong way round as well
+        low = F.when(F.col("id") % 11 != 5, at[0])
+        return spark.range(rows).select((F.col("id") % 200).alias(f"{prefix}id"), "id", low.alias(f"{prefix}minx"), at[1].alias(f"{prefix}miny")).select(
+            f"{prefix}id", f"{prefix}minx", f"{prefix}miny", (F.col(f"{prefix}minx") + side).alias(f"{prefix}maxx"), (F.col(f"{prefix}miny") + side).alias(f"{prefix}maxy")).localCheckpoint()
+
+    a, b = boxes(900, "a_", 1), boxes(300, "b_", 5)
+    counts = spatial.bbox_counts(a, b, 2.0, "b_id", min_rows=min_rows)
+    plan = counts._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInArrow" in plan
+    want = {r.b_id: r["count"] for r in spatial.bbox_join(a, b, 2.0).groupBy("b_id").count().collect()}
+    assert {r.b_id: r.n for r in counts.collect()} == want and len(want) > 100
