@@ -29,6 +29,26 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(plain(path).replace("s3a://", "s3://", 1))
 
 
+def head(path) -> str | None:
+    """What stands before a path inside its file system where Spark names it; None for what only Spark can open or several paths."""
+    if not isinstance(path, str) or re.search(r"[*?\[\]{}]", path):
+        return None
+    try:
+        fs, inner = filesystem(path)
+    except (ValueError, NotImplementedError, OSError):  # an unknown scheme, or one whose library is not here
+        return None
+    if fs.type_name == "local":
+        return "file:"
+    whole = plain(path).rstrip("/")
+    return whole[:-len(inner)] if inner and whole.endswith(inner) else None
+
+
+def exists(path: str) -> bool:
+    """Whether there is a file or a folder."""
+    fs, inner = filesystem(path)
+    return fs.get_file_info(inner).type != pafs.FileType.NotFound
+
+
 def open_file(path: str):
     """Open a file for reading ranges."""
     fs, inner = filesystem(path)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from terraloom.functions import files, href as hrefs
 from terraloom.session import shared_folder
-from terraloom.sources.rasters import _tasks
+from terraloom.sources.listing import tasks_of
 
 STATUS = "path string, target string, status string, bytes bigint, seconds double, error string"
 CHUNK = 8 * 1024 * 1024
@@ -83,7 +83,7 @@ def copy(planned: DataFrame, tasks: int | None = None) -> DataFrame:
 
     spark = planned.sparkSession
     told = f"{shared_folder(spark)}/copied-{uuid.uuid4().hex}"
-    planned.repartition(tasks or _tasks(planned), "path").mapInPandas(run, STATUS).write.parquet(told)
+    planned.repartition(tasks or tasks_of(planned.sparkSession), "path").mapInPandas(run, STATUS).write.parquet(told)
     return spark.read.parquet(told)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from terraloom.functions.indices import known
 from terraloom.functions import files, tiff
+from terraloom.sources.listing import tasks_of
 
 HEADER = (
     "path string, file_length bigint, driver string, width int, height int, band_count int, dtype string, "
@@ -52,13 +53,6 @@ RUN, TASK_BYTES = 64, 64 * 1024 * 1024
 BATCH_BYTES = 32 * 1024 * 1024
 
 
-def _tasks(df: DataFrame) -> int:
-    """Explicit task count: rows here are tiny but stand for much reading, so
-    adaptive coalescing by size must not merge them."""
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-
-
 def headers(listing: DataFrame, tasks: int | None = None) -> DataFrame:
     """Read the header of every listed file (``path`` and ``length``).
 
@@ -85,7 +79,7 @@ def headers(listing: DataFrame, tasks: int | None = None) -> DataFrame:
                 rows = [one(f["path"], f["length"]) for f in listed[at:at + FILES_PER_BATCH]]
                 yield pa.RecordBatch.from_pylist(rows, schema=HEADER_ARROW)
 
-    spread = listing.select("path", "length").repartition(tasks or _tasks(listing), "path")
+    spread = listing.select("path", "length").repartition(tasks or tasks_of(listing.sparkSession), "path")
     return spread.mapInArrow(read, HEADER)
 
 
@@ -196,7 +190,7 @@ def blocks(headers_df: DataFrame, tasks: int | None = None, level: int = 0, box=
     plan = read_plan(headers_df, level, box, bands)
     if tasks is None:
         total = plan.agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).first()
-        least = min(_tasks(headers_df), -(-total["n"] // RUN) or 1)
+        least = min(tasks_of(headers_df.sparkSession), -(-total["n"] // RUN) or 1)
         tasks = max(1, least, -(-(total["bytes"] or 0) // TASK_BYTES))
 
     def read(batches):
