@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from terraloom.functions import files, href as hrefs
-from terraloom.operators import catalog, inventory, transfer
+from terraloom.operators import catalog, inventory, joins, transfer
 from terraloom.session import shared_folder
 from terraloom.sources import documents as docs_source, listing, rasters, sinks
 from terraloom.streaming import incremental
@@ -43,7 +43,9 @@ def put(df, root: str) -> None:
                     sink.write(body)
             yield pd.DataFrame({"n": [len(pdf)]})
 
-    df.select("key", "body").mapInPandas(write, "n bigint").agg(F.sum("n")).first()
+    # Rows of one key stay together; small rows would else end in few tasks.
+    spread = df.select("key", "body").repartition(listing.tasks_of(df.sparkSession), "key")
+    spread.mapInPandas(write, "n bigint").agg(F.sum("n")).first()
 
 
 def relative(path, root):
@@ -77,7 +79,7 @@ FROM links l JOIN docs USING (href)""")
 def read_documents(spark, sf):
     root = folder(spark)
     put(cq.documents(spark, sf).select("key", c("text").cast("binary").alias("body")), root)
-    docs = docs_source.texts(spark, root, root)
+    docs = joins.stored(docs_source.texts(spark, root, root), "documents")  # the files are read once
     wanted = fx.links(spark, sf).select("seq", cq.catalog_key(c("href")).alias("key"))
     ok = catalog.parsed(docs, catalog.COLLECTION).select("key", F.lit(True).alias("ok"))
     found = catalog.existing_documents(wanted, docs).join(ok, "key", "left")
