@@ -111,3 +111,18 @@ def test_counts_equal_the_join(spark, min_rows):
     assert "FlatMapGroupsInArrow" in plan
     want = {r.b_id: r["count"] for r in spatial.bbox_join(a, b, 2.0).groupBy("b_id").count().collect()}
     assert {r.b_id: r.n for r in counts.collect()} == want and len(want) > 100
+
+
+def test_tasks_follow_the_pairs_that_meet(spark, monkeypatch):
+    """Few bytes that make many pairs are not merged into one task, with and without salts."""
+    monkeypatch.setattr(spatial, "TASK_PAIRS", 10_000, raising=False)
+
+    def side(p):
+        x, y = (F.col("id") % 10).cast("double"), (F.floor(F.col("id") / 10) % 10).cast("double")
+        return spark.range(4000).select(F.col("id").alias(f"{p}id"), *[
+            (v * 10 + d).alias(f"{p}{n}") for n, v, d in (("minx", x, 1), ("miny", y, 1), ("maxx", x, 2), ("maxy", y, 2))])
+
+    for min_rows in (20_000, 30):
+        pairs = spatial.bbox_join(side("a_"), side("b_"), 10.0, min_rows=min_rows)
+        told = pairs.groupBy(F.spark_partition_id()).count().collect()
+        assert len(told) > 8 and sum(r["count"] for r in told) == 100 * 40 * 40
