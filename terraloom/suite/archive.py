@@ -236,7 +236,9 @@ def vegetation_of_files(spark, sf):
     imagery = rasters.to_tiles(rasters.blocks(files_of(spark, sf)), fx.BANDS[:4], 16)
     # A cell that has other bands, but not both of the index, is no vegetation: as 0 and 0 it has no index.
     bare = lambda i: (lacks(i, "red") | lacks(i, "nir")) & ~lacks(i, *fx.BANDS[:4])
-    imagery = imagery.withColumns({b: F.transform(places(), lambda i: F.when(bare(i), F.lit(0.0).cast("float")).otherwise(F.get(b, i))) for b in ("red", "nir")})
+    # Worked out first: inside a lambda Spark takes the name of a band for the new band of the same step.
+    imagery = imagery.withColumn("bare", F.transform(places(), bare))
+    imagery = imagery.withColumns({b: F.transform(places(), lambda i: F.when(F.get("bare", i), F.lit(0.0).cast("float")).otherwise(F.get(b, i))) for b in ("red", "nir")}).drop("bare")
     heights = rasters.to_tiles(rasters.blocks(files_of(spark, sf, ["dsm", "dem"], "uint16")), ["dsm", "dem"], 16)
     out = workflows.vegetation_of_grids(imagery, heights, 16, 3.5)
     px = tiles.to_pixels(out.select("scene", "tx", "ty", F.lit(16).alias("w"), c("data").alias("v")), ["v"], 16).filter("v IS NOT NULL")

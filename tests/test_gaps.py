@@ -15,10 +15,10 @@ NAMES = ("k04_scenes q05_describe q05_describe_levels q06_batch_mixed s07_magic
          "s12_to_tiles w07_files w07_scenes x01_from_files z10_file_grids z10_files z13_scenes").split()
 
 
-def tables(vectors):
-    """``vectors`` rows of embeddings, four to a tile, and a few pages."""
+def tables(vectors, missing=(25, 28, 31)):
+    """``vectors`` rows of embeddings, four to a tile, those of ``missing`` null, and a few pages."""
     root, rng = tempfile.mkdtemp(prefix="run-", dir="/tmp"), np.random.default_rng(4)
-    rows = [None if k in (25, 28, 31) else (rng.normal(0, 0.3, 64) + 0.2).astype(np.float32) for k in range(vectors)]
+    rows = [None if k in missing else (rng.normal(0, 0.3, 64) + 0.2).astype(np.float32) for k in range(vectors)]
     pq.write_table(pa.table({"vec_id": pa.array(range(vectors), pa.int64()), "embedding": pa.array(rows, pa.list_(pa.float32()))}), f"{root}/embeddings.parquet")
     pages = {"page_id": pa.array(range(120), pa.int64()), "url": [f"https://a.org/{k}" for k in range(120)], "html": [f"<html>{k}</html>" for k in range(120)]}
     pq.write_table(pa.table(pages), f"{root}/pages.parquet")
@@ -38,6 +38,12 @@ def test_tiles_that_lack_bands(spark, odd, name):
     assert check.compare(all_queries()[name](spark, odd[0]), odd[1], all_oracles()[name]) == ""
 
 
+def test_tiles_that_lack_red_only(spark):
+    """Tiles 0, 11 and 25 lack red, 15 and 29 nir; their other bands are there."""
+    root, con = tables(140, (0, 44, 63, 100, 119))
+    assert check.compare(all_queries()["x01_from_files"](spark, root), con, all_oracles()["x01_from_files"]) == ""
+
+
 def test_missing_cells_take_a_free_number():
     data, nodata = tiffs.whole(np.array([0.0, 1.9, np.nan, 3.0]), "uint8")
     assert data.dtype == np.uint8 and data.tolist() == [0, 1, 2, 3] and nodata == "2"
