@@ -38,6 +38,17 @@ def test_tiles_that_lack_bands(spark, odd, name):
     assert check.compare(all_queries()[name](spark, odd[0]), odd[1], all_oracles()[name]) == ""
 
 
+@pytest.fixture(scope="module")
+def corner():
+    """The last file is one tile, which has red alone; tile 11 lacks red."""
+    return tables(121, (44,))
+
+
+@pytest.mark.parametrize("name", ["w07_files", "w07_scenes", "z10_file_grids", "z10_files"])
+def test_last_file_of_one_band(spark, corner, name):
+    assert check.compare(all_queries()[name](spark, corner[0]), corner[1], all_oracles()[name]) == ""
+
+
 def test_tiles_that_lack_red_only(spark):
     """Tiles 0, 11 and 25 lack red, 15 and 29 nir; their other bands are there."""
     root, con = tables(140, (0, 44, 63, 100, 119))
