@@ -126,3 +126,81 @@ def test_tasks_follow_the_pairs_that_meet(spark, monkeypatch):
         pairs = spatial.bbox_join(side("a_"), side("b_"), 10.0, min_rows=min_rows)
         told = pairs.groupBy(F.spark_partition_id()).count().collect()
         assert len(told) > 8 and sum(r["count"] for r in told) == 100 * 40 * 40
+
+
+def sided(spark, rows, seed, prefix, sizes):
+    """Boxes on whole numbers, so that many only touch; some are points, some end before they begin, some come twice."""
+    rng = random.Random(seed)
+    made = []
+    for k in range(rows):
+        x, y, side = rng.randint(-60, 60), rng.randint(-60, 60), rng.choice(sizes)
+        made.append((k, float(x), float(y), float(x + side), float(y + rng.choice((side, 0, 1)))))
+    made += [(rows + k, *r[1:]) for k, r in enumerate(made[:9])]
+    return spark.createDataFrame(made, f"{prefix}id long, {prefix}minx double, {prefix}miny double, {prefix}maxx double, {prefix}maxy double"), made
+
+
+def touching(left, right):
+    return sorted((p[0], q[0]) for p in left for q in right if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4])
+
+
+def test_boxes_travel_once_for_all_levels(spark, plan_of, monkeypatch):
+    """What the box join shuffles follows the boxes, not the levels on which they meet."""
+    monkeypatch.setattr(spatial, "PLACES", 4, raising=False)
+    a, ra = sided(spark, 600, 1, "a_", (1,))
+    b, rb = sided(spark, 200, 2, "b_", (2, 4, 8, 16))
+    df = spatial.bbox_join(a, b, 2.0)
+    assert plan_of(df).split("===== Subqueries")[0].count("Exchange hashpartitioning") <= 1
+    levels = spatial._levels(b, "b_", 2.0)
+    assert sum(spatial._cells(a, "a_", 2.0, levels, above).count() for above in (0, 1)) > 4 * len(ra)
+    level = spatial._place_level([(a, "a_"), (b, "b_")], 2.0, {0, *levels}, len(ra) + len(rb))
+    assert level == 3 and spatial._placed(a, "a_", 2.0, level, levels).count() < 1.5 * len(ra)
+    assert df.columns == a.columns + b.columns
+    assert sorted((r.a_id, r.b_id) for r in df.collect()) == touching(ra, rb)
+
+
+@pytest.mark.parametrize("level", [0, 2, 5])
+def test_pairs_of_a_task_in_pieces(spark, monkeypatch, level):
+    """Whatever a task takes, compares and hands on at once, and however far places are from the boxes' own levels."""
+    a, ra = sided(spark, 300, 3, "a_", (0, 1, 2, 30, -3))
+    b, rb = sided(spark, 200, 4, "b_", (0, 3, 9, 70, -1))
+    (levels_a, _), (levels_b, _) = spatial._told(a, "a_", 2.0), spatial._told(b, "b_", 2.0)
+    on, levels = ["_level", "_cx", "_cy"], sorted({*levels_a, *levels_b})
+    none = F.lit(None).cast("long")
+    both = spatial._placed(a, "a_", 2.0, level, levels_b).select(*on, F.lit(False).alias("_right"), "_own", *[F.col(f"a_{n}").alias(f"_{n}") for n in spatial.EDGES], "a_id", none.alias("b_id")).unionAll(
+        spatial._placed(b, "b_", 2.0, level, levels_a).select(*on, F.lit(True), "_own", *[f"b_{n}" for n in spatial.EDGES], none, "b_id"))
+    rows = both.orderBy(*on, F.desc("_right")).toArrow().combine_chunks()
+    for chunk, matrix, compared, handed in ((100_000, 4096, 1 << 18, 1 << 16), (7, 1, 5, 3), (50, 1 << 40, 11, 20), (1, 9, 1 << 18, 1)):
+        for name, value in (("CHUNK", chunk), ("MATRIX", matrix), ("COMPARED", compared), ("HANDED", handed)):
+            monkeypatch.setattr(spatial, name, value)
+        made = list(spatial._pairs(2.0, level, levels, on, ["a_id", "b_id"], {"b_id"})(rows.to_batches(max_chunksize=13)))
+        assert all(m.num_rows <= max(handed, 1) for m in made)
+        assert sorted((r["a_id"], r["b_id"]) for m in made for r in m.to_pylist()) == touching(ra, rb)
+
+
+def test_bbox_join_of_other_numbers_and_columns(spark):
+    """Decimals, infinite and very large numbers and types that Arrow does not carry take the equi-joins; other types go through."""
+    a, ra = sided(spark, 80, 5, "a_", (1, 9))
+    b, rb = sided(spark, 60, 6, "b_", (2, 30))
+    want = touching(ra, rb)
+    exact = a.select("a_id", *[F.col(f"a_{n}").cast("decimal(20,3)").alias(f"a_{n}") for n in spatial.EDGES])
+    whole = a.select("a_id", *[F.col(f"a_{n}").cast("int").alias(f"a_{n}") for n in spatial.EDGES])
+    odd = a.withColumn("a_time", F.expr("INTERVAL '1-2' YEAR TO MONTH"))
+    wide = a.withColumns({"a_list": F.array(F.struct(F.col("a_id").alias("n"))), "a_at": F.lit("2020-01-02 03:04:05").cast("timestamp"), "a_none": F.lit(None).cast("binary")})
+    for left in (exact, whole, odd, wide):
+        df = spatial.bbox_join(left, b, 4.0)
+        assert [f.dataType for f in df.schema] == [f.dataType for f in [*left.schema, *b.schema]]
+        found = df.drop("a_time").collect()
+        assert sorted((r.a_id, r.b_id) for r in found) == want
+        if left is wide:
+            assert all(r.a_list[0].n == r.a_id and r.a_at.minute == 4 and r.a_none is None for r in found)
+    far = a.unionAll(spark.createDataFrame([(1000, 1e17, 1e17, 1e17 + 64, 1e17 + 64), (1001, float("nan"), 0.0, float("nan"), 1.0)], a.schema))
+    assert sorted((r.a_id, r.b_id) for r in spatial.bbox_join(far, b, 4.0).collect()) == want
+    assert spatial.bbox_join(a, b, 4.0, columns=["b_id", "a_minx"]).columns == ["a_minx", "b_id"]
+    with pytest.raises(ValueError, match="no such columns"):
+        spatial.bbox_join(a, b, 4.0, columns=["c"])
+
+
+def test_crowded_places_are_salted_on_both_sides(spark):
+    a, ra = sided(spark, 150, 7, "a_", (0, 1))
+    b, rb = sided(spark, 90, 8, "b_", (1, 2))
+    assert sorted((r.a_id, r.b_id) for r in spatial.bbox_join(a, b, 200.0, min_rows=10).collect()) == touching(ra, rb)
