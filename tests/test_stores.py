@@ -86,6 +86,34 @@ def test_join_in_place(spark, store, plan_of, monkeypatch, small):
     assert set(df.columns) == {"id", "minx", "miny", "maxx", "maxy", "geometry", "b_id", "b_minx", "b_miny", "b_maxx", "b_maxy"}
 
 
+def test_a_task_writes_a_run_of_small_files(spark):
+    """Files of a few items do not take a task each; items that come twice, or have no box, are all kept."""
+    items, rows = boxes(spark, 5000, extra=[(9000 + k, None, None, None, None) for k in range(40)] + [(7, 5.0, 5.0, 5.0, 5.0)] * 30)
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/items"
+    for _ in range(2):  # the second time over the files of the first
+        footprints.store(items.withColumn("geometry", geometry.box_wkb("minx", "miny", "maxx", "maxy")), root, file_items=8)
+    files = sorted(glob.glob(f"{root}/*"))
+    tables = [pq.read_table(name) for name in files]
+    assert len({name.split("part-")[1][:5] for name in files}) < 100 and 600 < len(files) < 750
+    assert max(t.num_rows for t in tables) == 8 and sorted(k for t in tables for k in t["id"].to_pylist()) == sorted(r[0] for r in rows)
+    curve = [v for t in tables for v in t["curve"].to_pylist()]
+    assert curve == sorted(curve) and all(b"geo" in pq.read_schema(name).metadata for name in files)
+    box = (2000.0, 3000.0, 2600.0, 3100.0)
+    assert {r.id for r in footprints.read(spark, root, box).collect()} == touching(rows, box)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_join_returns_the_columns_named(spark, store, monkeypatch, small):
+    root, rows = store
+    areas, others = boxes(spark, 40, "b_")
+    if not small:
+        monkeypatch.setattr(footprints, "is_small", lambda df: False)
+    df = footprints.join(spark, root, areas, 25.0, columns=["b_id", "id", "minx"])
+    assert df.columns == ["b_id", "id", "minx"]
+    assert sorted(map(tuple, df.collect())) == sorted((b[0], i, rows_by[i]) for rows_by in [{r[0]: r[1] for r in rows}] for b in others for i in touching(rows, b[1:]))
+    assert footprints.join(spark, root, areas.limit(0), 25.0, columns=["b_id", "id"]).columns == ["b_id", "id"]
+
+
 def test_empty_sides(spark, store):
     root, _ = store
     areas, _ = boxes(spark, 3, "b_")
